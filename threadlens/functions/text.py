@@ -101,10 +101,13 @@ def tokens(col: Column) -> Column:
 
 
 def ngrams(toks: Column, max_n: int = 2) -> Column:
-    """Unigrams followed by the space-joined n-grams up to ``max_n``."""
-    out = toks
+    """Unigrams followed by the space-joined n-grams up to ``max_n``.
+
+    Each order zips the previous one with the shifted tokens: linear in the text.
+    """
+    out = grams = toks
     for n in range(2, max_n + 1):
-        starts = F.when(F.size(toks) >= n, F.sequence(F.lit(1), F.size(toks) - (n - 1))) \
-            .otherwise(F.array().cast("array<int>"))
-        out = F.concat(out, F.transform(starts, lambda i, n=n: F.array_join(F.slice(toks, i, n), " ")))
+        left = F.greatest(F.size(toks) - (n - 1), F.lit(0))
+        grams = F.zip_with(F.slice(grams, 1, left), F.slice(toks, n, left), lambda a, b: F.concat_ws(" ", a, b))
+        out = F.concat(out, grams)
     return out
