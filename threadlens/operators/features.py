@@ -78,10 +78,11 @@ def _term_weights(docs: DataFrame, vocab: DataFrame, spec: TfidfSpec, key: str,
     tf = F.col("tf").cast("double")
     raw = ((1.0 + F.log(tf)) if spec.sublinear else tf) * F.col("idf")
     hits = term_counts(docs, spec, key=key, text=text).join(F.broadcast(vocab.select("term", "idx", "idf")), "term")
-    rows = hits.groupBy(key).agg(F.array_sort(F.collect_list(
-        F.struct("idx", "term", raw.alias("w")))).alias("ws"))
-    norm = F.sqrt(F.aggregate("ws", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
-    return rows.withColumn("norm", norm).select(key, F.transform("ws", lambda x: F.struct(
+    # the norm is an aggregate of its own: inside the lambda it would be recomputed per term
+    rows = hits.withColumn("w", raw).groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("idx", "term", "w"))).alias("ws"),
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return rows.select(key, F.transform("ws", lambda x: F.struct(
         x["idx"].alias("idx"), x["term"].alias("term"), (x["w"] / F.col("norm")).alias("w"))).alias("ws"))
 
 
