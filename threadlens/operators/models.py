@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -17,6 +16,7 @@ from threadlens.operators.features import (CLASSIFIER, TfidfSpec, cluster_terms,
                                            tfidf_vocabulary, tfidf_weights)
 from threadlens.operators.metrics import classifier_metrics, confusion_cells
 from threadlens.schema import SEED
+from threadlens.sources.scratch import materialize
 
 C_GRID = (0.1, 1.0, 10.0)
 
@@ -51,6 +51,7 @@ def fit_logistic(vectors: DataFrame, label: str, c: float = 1.0, max_iter: int =
     """Multinomial, class-balanced, L2 logistic regression.
 
     Weights sum to n, so the penalty 1/C of a summed loss is 1/(C*n) of Spark's mean loss.
+    ``vectors`` should be a written table: every iteration is a job over its lineage.
     """
     labels, n, classes = _class_table(vectors, label)
     data = vectors.join(F.broadcast(classes), label).select(features, "__y", "__w")
@@ -139,12 +140,9 @@ def fit_tfidf_lr(train: DataFrame, *, label: str = "intent", key: str = "tweet_i
                  c: float = 1.0, spec: TfidfSpec = CLASSIFIER, max_iter: int = 1000) -> IntentModel:
     """Vocabulary and logistic regression on ``train``."""
     vocab, size = frozen_vocabulary(train, spec, key=key, text=text)
-    vectors = tfidf_vectors(train.select(key, text, label), vocab, size, spec, key=key, text=text) \
-        .select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        lr, labels = fit_logistic(vectors, label, c, max_iter)
-    finally:
-        vectors.unpersist()
+    vectors = materialize(tfidf_vectors(train.select(key, text, label), vocab, size, spec, key=key, text=text)
+                          .select("features", label), "features")
+    lr, labels = fit_logistic(vectors, label, c, max_iter)
     return IntentModel("tfidf_lr", lr, labels, vocab, spec, key, text)
 
 
@@ -157,12 +155,9 @@ def frozen_vocabulary(docs: DataFrame, spec: TfidfSpec, *, key: str, text: str)
 
 def fit_embedding_lr(train: DataFrame, *, label: str = "intent", key: str = "tweet_id", vector: str = "embedding",
                      c: float = 1.0, max_iter: int = 1000) -> IntentModel:
-    vectors = train.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"), label) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        lr, labels = fit_logistic(vectors, label, c, max_iter)
-    finally:
-        vectors.unpersist()
+    vectors = materialize(train.select(
+        array_to_vector(F.col(vector).cast("array<double>")).alias("features"), label), "features")
+    lr, labels = fit_logistic(vectors, label, c, max_iter)
     return IntentModel("embedding_lr", lr, labels, key=key, source=vector)
 
 
@@ -176,22 +171,18 @@ def tune_regularization(train: DataFrame, val: DataFrame, grid: Sequence[float]
     vocab, size = frozen_vocabulary(train, spec, key=key, text=text)
 
     def features(df):
-        return tfidf_vectors(df.select(key, text, label), vocab, size, spec, key=key, text=text) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        return materialize(tfidf_vectors(df.select(key, text, label), vocab, size, spec, key=key, text=text)
+                           .select("features", label), "features")
 
     ftrain, fval = features(train), features(val)
     best, best_f1, rows = None, 0.0, []
-    try:
-        for c in grid:
-            lr, labels = fit_logistic(ftrain.select("features", label), label, c, max_iter)
-            preds = add_predictions(lr.transform(fval), labels)
-            f1 = classifier_metrics(confusion_cells(preds, label, "prediction")).select("macro_f1").first()[0]
-            rows.append((float(c), f1))
-            if best is None or f1 > best_f1:
-                best, best_f1 = IntentModel("tfidf_lr", lr, labels, vocab, spec, key, text), f1
-    finally:
-        ftrain.unpersist()
-        fval.unpersist()
+    for c in grid:
+        lr, labels = fit_logistic(ftrain, label, c, max_iter)
+        preds = add_predictions(lr.transform(fval), labels)
+        f1 = classifier_metrics(confusion_cells(preds, label, "prediction")).select("macro_f1").first()[0] or 0.0
+        rows.append((float(c), f1))
+        if best is None or f1 > best_f1:
+            best, best_f1 = IntentModel("tfidf_lr", lr, labels, vocab, spec, key, text), f1
     top = next((c for c, f1 in rows if f1 == best_f1), rows[0][0])
     table = train.sparkSession.createDataFrame([(c, f1, c == top) for c, f1 in rows],
                                                "c double, val_macro_f1 double, best boolean")
@@ -207,17 +198,11 @@ def discover_intents(docs: DataFrame, *, n_clusters: int = 8, top: int = 15, res
     """
     spec = spec or discovery_spec()
     vocab, size = frozen_vocabulary(docs, spec, key=key, text=text)
-    vectors = tfidf_vectors(docs.select(key, text), vocab, size, spec, key=key, text=text) \
-        .select(key, "features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fits = [KMeans(k=n_clusters, seed=seed + i, maxIter=max_iter).fit(vectors) for i in range(restarts)]
-        model = min(fits, key=lambda m: m.summary.trainingCost)
-    finally:
-        vectors.unpersist()
+    vectors = materialize(tfidf_vectors(docs.select(key, text), vocab, size, spec, key=key, text=text)
+                          .select(key, "features"), "features")
+    fits = [KMeans(k=n_clusters, seed=seed + i, maxIter=max_iter).fit(vectors) for i in range(restarts)]
+    model = min(fits, key=lambda m: m.summary.trainingCost)
     assigned = model.transform(vectors).select(key, F.col("prediction").alias("cluster_id"))
     weights = tfidf_weights(docs, vocab, spec, key=key, text=text)
     return cluster_terms(weights, assigned, key=key, top=top), assigned
 
-
-def with_spec(**changes) -> TfidfSpec:
-    return replace(CLASSIFIER, **changes)
