@@ -43,7 +43,7 @@ def test_evidence_and_audit(spark):
     rows = spark.createDataFrame([("a", "train"), ("b", "train"), ("c", "validation"), ("d", "test")], "conversation_id string, split string")
     pairs = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), ("d", 5), ("z", 6)], "conversation_id string, n int")
     gold = spark.createDataFrame([("b",), ("",)], "conversation_id string")
-    indexed = splits.evidence_candidates(pairs, rows, gold)
+    indexed = splits.evidence_candidates(pairs, rows, gold, key="n", hot_rows=2)
     assert sorted(r.n for r in indexed.collect()) == [1, 2]
     audit = {r.check_name: (r.n, r.passed) for r in splits.leakage_audit(pairs, indexed, rows, gold).collect()}
     assert audit["pairs_in_train"][0] == 3 and audit["pairs_excluded"][0] == 3 and audit["pairs_indexed"][0] == 2

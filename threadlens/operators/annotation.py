@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from threadlens.functions.text import strip
 from threadlens.plans.skew import HOT_ROWS, skew_lookup
+from threadlens.sources.scratch import materialize
 
 # Accepted spellings of the escalation answer.
 ESCALATION_ALIASES = {"YES": "YES", "NO": "NO", "Y": "YES", "N": "NO", "AUTO_HANDLE": "AUTO_HANDLE",
@@ -63,20 +64,23 @@ def validate_annotations(rows: DataFrame, intents: DataFrame, *, row_no: str = "
             F.lit("Escalation '"), F.col("gold_escalation"), F.lit("' must be YES, NO, AUTO_HANDLE, or ESCALATE."))))
     out = out.withColumn("error", first_error).drop("__known")
 
-    def first_row(df, key):
-        return df.groupBy(F.col(key).alias("__k")).agg(F.min(row_no).alias("__first"))
-
-    # first valid row per id, then first id-owning row per tweet_id
-    out = skew_lookup(out, first_row(out.where(F.col("error").isNull()), "id"), "id", "__k",
-                      spread=row_no, hot_rows=hot_rows)
-    out = out.withColumn("error", F.coalesce("error", F.when(
-        F.col(row_no) > F.col("__first"), F.concat(F.lit("duplicate id '"), F.col("id"), F.lit("'"))))).drop("__first")
-    owners = out.where(F.col("error").isNull() & (F.col("tweet_id") != ""))
-    keyed = out.withColumn("__t", F.when(F.col("tweet_id") != "", F.col("tweet_id")))
-    out = skew_lookup(keyed, first_row(owners, "tweet_id"), "__t", "__k", spread=row_no, hot_rows=hot_rows)
-    out = out.withColumn("error", F.coalesce("error", F.when(
-        F.col(row_no) > F.col("__first"), F.concat(F.lit("duplicate tweet_id '"), F.col("tweet_id"), F.lit("'"))))) \
-        .drop("__first", "__t")
+    # Per id: its first valid row, which owns the id, and that row's tweet_id.  Both
+    # aggregates combine map-side, so a much repeated id costs one row per task.
+    owners = materialize(
+        out.where(F.col("error").isNull()).groupBy(F.col("id").alias("__id")).agg(
+            F.min(row_no).alias("__first"), F.count(F.lit(1)).alias("__n"),
+            F.min_by(F.when(F.col("tweet_id") != "", F.col("tweet_id")), row_no).alias("__tid")), "owners")
+    claims = owners.where(F.col("__tid").isNotNull()).groupBy(F.col("__tid").alias("__k")).agg(F.min("__first").alias("__claimed"))
+    judged = skew_lookup(owners, claims, "__tid", "__k", spread="__id", hot_rows=hot_rows)
+    # only ids with something wrong are looked up from the rows
+    late = F.coalesce(F.col("__first") > F.col("__claimed"), F.lit(False))
+    suspects = judged.where((F.col("__n") > 1) | late).select(F.col("__id").alias("__k"), "__first", late.alias("__late"))
+    out = skew_lookup(out, suspects, "id", "__k", spread=row_no, hot_rows=hot_rows)
+    duplicate = (
+        F.when(F.col(row_no) > F.col("__first"), F.concat(F.lit("duplicate id '"), F.col("id"), F.lit("'")))
+        .when((F.col(row_no) == F.col("__first")) & F.col("__late"),
+              F.concat(F.lit("duplicate tweet_id '"), F.col("tweet_id"), F.lit("'"))))
+    out = out.withColumn("error", F.coalesce("error", duplicate)).drop("__first", "__late")
     if require_complete:
         out = out.withColumn("error", F.coalesce("error", F.when(
             (F.col("gold_intent") == "") | (F.col("gold_escalation") == ""),

@@ -154,8 +154,9 @@ def error_examples(preds: DataFrame, order: str, text: str = "text", per_pair: i
     wrong = preds.where("y_true <> y_pred")
     pairs = error_pairs(confusion_cells(preds), top).select("y_true", "y_pred", "errors")
     w = Window.partitionBy("y_true", "y_pred").orderBy(order)
-    return (wrong.withColumn("example", F.row_number().over(w)).where(F.col("example") <= per_pair)
-            .join(F.broadcast(pairs), ["y_true", "y_pred"])   # `top` rows
+    # `top` rows are broadcast; the rank filter then trims every pair before the shuffle
+    return (wrong.join(F.broadcast(pairs), ["y_true", "y_pred"])
+            .withColumn("example", F.row_number().over(w)).where(F.col("example") <= per_pair)
             .select("y_true", "y_pred", "errors", "example", F.substring(text, 1, chars).alias("text")))
 
 

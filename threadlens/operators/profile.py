@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.numeric import half_even
+from threadlens.plans.skew import HOT_ROWS, skew_lookup
 
 
-def dataset_summary(messages: DataFrame, order: str = "ingest_seq") -> DataFrame:
+def dataset_summary(messages: DataFrame, order: str = "ingest_seq", *,
+                    hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """One row with the 16 measures.
 
     Distinct counts are separate sub-aggregates, read as scalars, so that no Expand
@@ -16,10 +18,11 @@ def dataset_summary(messages: DataFrame, order: str = "ingest_seq") -> DataFrame
     whole rows are compared for those ids alone.
     """
     data_cols = [c for c in messages.columns if c != order]
-    per_id = messages.groupBy("tweet_id").agg(F.count(F.lit(1)).alias("n"))
-    repeated = per_id.where("n > 1").select(F.col("tweet_id").alias("__rid"))
-    copies = (messages.select(*data_cols)
-              .join(repeated, F.col("tweet_id").eqNullSafe(F.col("__rid")), "left_semi")
+    rid = F.coalesce("tweet_id", F.lit("\u0000"))  # null ids count as copies of each other
+    per_id = messages.groupBy(rid.alias("__k")).agg(F.count(F.lit(1)).alias("n"))
+    repeated = per_id.where("n > 1").select("__k", F.lit(True).alias("__in"))
+    copies = (skew_lookup(messages.withColumn("__rid", rid), repeated, "__rid", "__k", spread=order, how="inner",
+                          hot_rows=hot_rows)
               .groupBy(*data_cols).agg((F.count(F.lit(1)) - 1).alias("extra")))
     length = F.length("text")
     # exact percentiles: the buffer is one counter per distinct text length

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from threadlens.functions.text import clean_text, label_intent
 from threadlens.plans.hash_order import WIDTH, at_or_before, cut_keys, hash_sample
+from threadlens.plans.skew import HOT_ROWS, skew_lookup
 from threadlens.schema import MIN_CLEAN_LENGTH, SEED, TRAIN_RATIO, VAL_RATIO
 
 
@@ -69,16 +70,19 @@ def exclusion_set(splits: DataFrame, golden: DataFrame | None = None) -> DataFra
     return ids.where(F.col("conversation_id").isNotNull()).distinct()
 
 
-def evidence_candidates(pairs: DataFrame, splits: DataFrame, golden: DataFrame | None = None) -> DataFrame:
+def evidence_candidates(pairs: DataFrame, splits: DataFrame, golden: DataFrame | None = None, *,
+                        key: str = "customer_tweet_id", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Pairs whose conversation is in train and not in test, validation or golden.
 
     The allowed ids are settled first on the distinct id side (one row per
-    conversation), then pairs are kept by a semi join.
+    conversation), then pairs look their conversation up; one thread may hold very
+    many pairs, hence the skew-aware lookup.
     """
     train = splits.where("split = 'train'").select(F.col("conversation_id").cast("string")).distinct()
     allowed = train.join(exclusion_set(splits, golden), "conversation_id", "left_anti")
-    return pairs.withColumn("conversation_id", F.col("conversation_id").cast("string")) \
-        .join(allowed, "conversation_id", "left_semi")
+    typed = pairs.withColumn("conversation_id", F.col("conversation_id").cast("string"))
+    return skew_lookup(typed, allowed.select(F.col("conversation_id").alias("__c"), F.lit(True).alias("__in")),
+                       "conversation_id", "__c", spread=key, how="inner", hot_rows=hot_rows).drop("__in")
 
 
 def leakage_audit(pairs: DataFrame, indexed: DataFrame, splits: DataFrame,

@@ -18,8 +18,12 @@ def score_stream(messages: DataFrame, model: IntentModel, store: DataFrame, *, o
     partition column.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        score_messages(batch, model, store, **params) \
-            .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        batch.persist()  # read by the classifier, the retrieval and the final join
+        try:
+            score_messages(batch, model, store, **params) \
+                .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())

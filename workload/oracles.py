@@ -307,7 +307,7 @@ ORACLES: dict[str, str] = {
     "template_replies": with_(["decisions"], "select event_id, case when n_evidence>1 then concat('reply ', event_id) when n_evidence=1 then " +
                               lit(GENERIC_REPLY) + " else case intent " + " ".join(f"when '{k}' then {lit(v)}" for k, v in REPLY_TEMPLATES.items()) +
                               " end end as reply, n_evidence>1 as grounded from decisions"),
-    "parse_judge": with_(["judged"], f"select doc_id, {JUDGE_COLS} from judged"),
+    "parse_judge_outputs": with_(["judged"], f"select doc_id, {JUDGE_COLS} from judged"),
     "evidence_from_json": with_(["judge_raw"], "select doc_id, case when doc_id%7=0 then 0 else 1 end as n_evidence, case when doc_id%7<>0 then concat(intent, ' case') end as first_case from judge_raw"),
     "canonical_escalation": with_(["annotations"], f"select row_no, {ESC} as gold_escalation from annotations"),
     "normalize_truth_decision": with_(["decisions"], f"select event_id, {TRUTH} as truth from decisions"),

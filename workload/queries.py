@@ -28,7 +28,7 @@ def stamp(col: str = "created_at"):
 
 
 def query(fn):
-    Q[fn.__name__] = fn
+    Q[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -194,7 +194,7 @@ def template_replies(spark, sf):
 
 
 @query
-def parse_judge(spark, sf):
+def parse_judge_outputs_(spark, sf):
     return parse_judge_outputs(fx.judge_raw(spark, sf).select("doc_id", "raw_output")).drop("raw_output")
 
 
@@ -381,7 +381,7 @@ def rater_agreement(spark, sf):
 
 @query
 def judge_summary(spark, sf):
-    return judging.judge_summary(parse_judge(spark, sf))
+    return judging.judge_summary(parse_judge_outputs_(spark, sf))
 
 
 @query
@@ -604,7 +604,7 @@ def discover_intents(spark, sf):
 
 
 @query
-def save_load_model(spark, sf):
+def save_model(spark, sf):
     path = shared_folder(spark, "models")
     models.fit_embedding_lr(vector_rows(spark, sf), key="vec_id").save(path)
     model = models.load_best_model(spark, path)
@@ -623,7 +623,7 @@ def scoring_inputs(spark, sf):
 @query
 def score_messages(spark, sf):
     vectors, model, store = scoring_inputs(spark, sf)
-    msgs = threads.dedup_keep_first(fx.tweets(spark, sf)).where("inbound").join(vectors, "tweet_id")
+    msgs = materialize(threads.dedup_keep_first(fx.tweets(spark, sf)).where("inbound").join(vectors, "tweet_id"), "inbox")
     return score(msgs, model, store).drop("intent_proba", "evidence")
 
 
