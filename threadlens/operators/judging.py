@@ -11,6 +11,7 @@ from threadlens.functions.judge import parse_judge_outputs
 from threadlens.functions.numeric import half_even
 from threadlens.functions.prompts import JUDGE_DIMENSIONS, judge_prompt
 from threadlens.schema import DEFAULT_BRAND, EVIDENCE_TYPE, JUDGE_SAMPLE
+from threadlens.sources.scratch import materialize
 
 
 def evidence_from_json(col: Column) -> Column:
@@ -72,7 +73,7 @@ def rater_agreement(long: DataFrame) -> DataFrame:
     """
     merged = long.groupBy("dimension").agg(F.count(F.lit(1)).alias("rows")).agg(F.max("rows"))
     seen = long.where(F.col("human").isNotNull() & F.col("judge").isNotNull())
-    cells = seen.groupBy("dimension", "human", "judge").agg(F.count(F.lit(1)).alias("n"))
+    cells = materialize(seen.groupBy("dimension", "human", "judge").agg(F.count(F.lit(1)).alias("n")), "ratings")
     sizes = cells.groupBy(F.col("dimension").alias("d")).agg(F.sum("n").alias("size")).where("size >= 2")
     cells = cells.join(sizes, F.col("dimension") == F.col("d"), "left_semi")
     both = cells.unionByName(cells.withColumn("dimension", F.lit("overall"))) \

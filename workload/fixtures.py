@@ -122,14 +122,14 @@ RATINGS = """
 select r.doc_id as id, d.dim,
   case when doc_id%19<>0 then 1+(doc_id*7+d.dim*3+doc_id <div> 5)%5 end as human,
   least(5, greatest(1, 1+(doc_id*7+d.dim*3+doc_id <div> 5)%5 + (doc_id*3+doc_id <div> 7+d.dim)%3 - 1)) as judge
-from <documents> r, (values (0),(1),(2),(3),(4),(5),(6)) as d(dim)
+from <documents> r <dims>
 """
 
 
 _SPARK = {"<phrase>": f"element_at(array({_QUOTED}), cast((conv_id*3+turn)%12+1 as int))", "<d>": "D",
-          "<div>": "div", "<str>": "string"}
+          "<div>": "div", "<dims>": "lateral view explode(sequence(0, 6)) d as dim", "<str>": "string"}
 _DUCK = {"<phrase>": f"list_extract([{_QUOTED}], cast((conv_id*3+turn)%12+1 as bigint))", "<d>": "e0",
-         "<div>": "//", "<str>": "varchar"}
+         "<div>": "//", "<dims>": ", (select unnest(range(7)) as dim) d", "<str>": "varchar"}
 # Stop list of the clustering queries (a parameter; the library default is Spark's English list)
 STOP_WORDS = ["the", "and", "of", "to", "in", "is", "it", "for", "on", "with", "by", "are"]
 

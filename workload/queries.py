@@ -291,7 +291,7 @@ def dataset_summary(spark, sf):
 
 
 def profiled_brands(spark, sf):
-    return brands.brand_scores(usable_pairs(spark, sf), min_inbound=1)
+    return brands.brand_scores(materialize(usable_pairs(spark, sf), "brands"), min_inbound=1)
 
 
 @query
@@ -478,7 +478,7 @@ def conversation_split(spark, sf):
 
 @query
 def reproducible_sample(spark, sf):
-    rows = threads.dedup_keep_first(fx.tweets(spark, sf)).select("tweet_id", "ingest_seq")
+    rows = materialize(threads.dedup_keep_first(fx.tweets(spark, sf)).select("tweet_id", "ingest_seq"), "ids")
     return splits.reproducible_sample(rows, 100, clamp=(500, 1000))
 
 
@@ -648,7 +648,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     t = fx.tweets(spark, sf)
     counts = threads.conversation_pairs(t).groupBy("brand").agg(
         F.count(F.lit(1)).alias("pairs"), F.count_distinct("conversation_id").alias("threads"))
-    ranked = brands.brand_scores(brands.usable_pairs(t, brands.brand_table(t)), min_inbound=1)
+    ranked = profiled_brands(spark, sf)
     return ranked.join(counts, "brand", "left").select(
         "brand", "outbound_tweets", "inbound_msgs", "conversations", "usable_pairs", "reply_rate",
         half_even(F.col("composite_score"), 9).alias("composite_score"), F.coalesce("pairs", F.lit(0)).alias("pairs"),
