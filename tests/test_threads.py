@@ -102,3 +102,21 @@ def test_observed_drop(spark):
     df = spark.createDataFrame([("",), ("abc",), ("abcdef",)], "clean_text string")
     assert [r[0] for r in splits.drop_empty(df, 5, "dropping").collect()] == ["abcdef"]
     assert Observation  # names are resolved by listeners; the rows are what matters here
+
+
+def test_wide_hot_rows_take_the_shuffle_path(spark):
+    facts = spark.range(100).select(F.col("id").alias("row"), F.lit("hot").alias("key"))
+    dim = spark.createDataFrame([("hot", "x" * 100_000)], "k string, v string")
+    got = skew_lookup(facts, dim, "key", "k", spread="row", hot_rows=10)
+    assert got.where(F.length("v") == 100_000).count() == 100
+
+
+def test_looser_inbound_variant_and_preparation(spark):
+    rows = MINI + [("1", "cust", True, "0"), ("9", "brand", True, None), ("10", "cust", True, "9")]
+    m = messages(spark, rows)
+    assert threads.brand_inbound(m, "brand").count() == 2
+    assert threads.brand_inbound(m, "brand", dedup=False, outbound_only=False).count() == 4
+    inbound = threads.conversation_proxy(threads.brand_inbound(m))
+    prepared = splits.prepare_splits(inbound, sample_n=10)
+    assert {r.tweet_id for r in prepared.collect()} == {"1", "3"}
+    assert prepared.columns == ["tweet_id", "clean_text", "intent", "conversation_id", "split"]

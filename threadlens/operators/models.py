@@ -19,6 +19,7 @@ from threadlens.schema import SEED
 from threadlens.sources.scratch import materialize
 
 C_GRID = (0.1, 1.0, 10.0)
+MAX_CLASSES = 1_000
 
 
 def majority_baseline(train: DataFrame, rows: DataFrame, label: str = "intent") -> DataFrame:
@@ -40,7 +41,10 @@ def majority_baseline(train: DataFrame, rows: DataFrame, label: str = "intent")
 
 def _class_table(train: DataFrame, label: str) -> tuple[list[str], int, DataFrame]:
     """Sorted labels, row count and (label, idx, class weight n/(K*n_c)); one row per class."""
-    stats = sorted((r[0], r[1]) for r in train.where(F.col(label).isNotNull()).groupBy(label).count().collect())
+    counts = train.where(F.col(label).isNotNull()).groupBy(label).count()
+    stats = sorted((r[0], r[1]) for r in counts.limit(MAX_CLASSES + 1).collect())
+    if len(stats) > MAX_CLASSES:
+        raise ValueError(f"column {label} has more than {MAX_CLASSES} classes")
     labels, n = [s[0] for s in stats], sum(s[1] for s in stats)
     rows = [(name, float(i), n / (len(stats) * count)) for i, (name, count) in enumerate(stats)]
     return labels, n, train.sparkSession.createDataFrame(rows, f"`{label}` string, __y double, __w double")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000      # a key with this many fact rows is split out
-MAX_HOT = 10_000          # bound on the broadcast; keys beyond it take the shuffle path
+MAX_HOT = 1_000           # at most this many keys are broadcast ...
+MAX_ROW_BYTES = 65_536    # ... with at most this much payload each; others take the shuffle path
 SALT = 1024
 
 
@@ -26,7 +27,7 @@ def skew_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, *
     """Join ``facts`` to ``dim`` (unique on ``dim_key``), adding dim's other columns.
 
     * Rows with a hot key are answered map-side from a broadcast of at most
-      ``max_hot`` dim rows, and rows with a null key need no answer.  Both get a salt
+      ``max_hot`` dim rows of at most MAX_ROW_BYTES each, and rows with a null key need no answer.  Both get a salt
       that no dim row carries, so the shuffle spreads them instead of piling them up.
     * Everything else is an ordinary shuffled equi-join on (key, salt 0).
 
@@ -47,7 +48,8 @@ def skew_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, *
         # hot keys with no dim row are kept too (null answer), so that they are salted
         answers = (hot.select("__hk", F.lit(None).cast(packed.schema["__cold"].dataType).alias("__hot"))
                    .unionByName(known.select(F.col("__dk").alias("__hk"), F.col("__cold").alias("__hot")))
-                   .groupBy("__hk").agg(F.first("__hot", ignorenulls=True).alias("__hot")))
+                   .groupBy("__hk").agg(F.first("__hot", ignorenulls=True).alias("__hot"))
+                   .where(F.col("__hot").isNull() | (F.octet_length(F.to_json("__hot")) <= MAX_ROW_BYTES)))
         work = work.join(F.broadcast(answers), F.col(fact_key) == F.col("__hk"), "left")
         needs_salt = needs_salt | F.col("__hk").isNotNull()
     work = work.withColumn("__salt", F.when(
