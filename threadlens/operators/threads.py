@@ -72,18 +72,20 @@ def first_reply(messages: DataFrame, brand: str | None = None) -> DataFrame:
 
 
 def conversation_pairs(messages: DataFrame, brand: str | None = None, *, dedup: bool = True,
-                       hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                       roots: DataFrame | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """(customer message, first brand reply) pairs with their thread root.
 
     With ``brand=None`` every brand is paired in one job.  Replies are cut to one per
     customer tweet before the join, so the join is one-to-one per brand.  Pass
-    ``dedup=False`` for a table de-duplicated at ingestion.
+    ``dedup=False`` for a table de-duplicated at ingestion, and ``roots`` if the
+    (tweet_id, conversation_id) table exists already.
     """
     unique = dedup_keep_first(messages) if dedup else messages
     customers = unique.where("inbound").select(
         F.col("tweet_id").alias("customer_tweet_id"), F.col("text").alias("customer_text"), "created_at")
-    roots = thread_roots(unique.select("tweet_id", PARENT), hot_rows=hot_rows) \
-        .withColumnRenamed("tweet_id", "customer_tweet_id")
+    if roots is None:
+        roots = thread_roots(unique.select("tweet_id", PARENT), hot_rows=hot_rows)
+    roots = roots.select(F.col("tweet_id").alias("customer_tweet_id"), "conversation_id")
     return (first_reply(unique, brand).join(customers, "customer_tweet_id").join(roots, "customer_tweet_id")
             .select("conversation_id", "customer_tweet_id", "customer_text", "brand_tweet_id",
                     "brand_text", "created_at", F.lit(1).alias("turn"), "brand"))

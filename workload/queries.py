@@ -76,13 +76,18 @@ def intent_dimension(spark, sf):
     return annotation.intent_dimension(schemas)
 
 
-def split_rows(spark, sf) -> DataFrame:
+def root_table(spark, sf) -> DataFrame:
+    unique = threads.dedup_keep_first(fx.tweets(spark, sf))
+    return materialize(threads.thread_roots(unique.select("tweet_id", PARENT)), "roots")
+
+
+def split_rows(spark, sf, roots: DataFrame | None = None) -> DataFrame:
     """Brand inbound messages, cleaned, labelled, keyed by thread root and split.
 
     Stages that feed several later ones are written tables, as in a production run.
     """
     t = fx.tweets(spark, sf)
-    roots = threads.thread_roots(threads.dedup_keep_first(t).select("tweet_id", PARENT))
+    roots = root_table(spark, sf) if roots is None else roots
     labelled = materialize(splits.label_messages(threads.brand_inbound(t)).join(roots, "tweet_id"), "labelled")
     return materialize(splits.conversation_split(labelled).select(
         "tweet_id", "clean_text", "intent", "conversation_id", "split"), "splits")
@@ -92,13 +97,14 @@ def golden_from(rows: DataFrame) -> DataFrame:
     return materialize(golden.golden_sample(rows.where("split = 'test'")), "golden")
 
 
-def message_pairs(spark, sf) -> DataFrame:
-    return materialize(threads.clean_pairs(threads.conversation_pairs(fx.tweets(spark, sf))), "pairs")
+def message_pairs(spark, sf, roots: DataFrame) -> DataFrame:
+    return materialize(threads.clean_pairs(threads.conversation_pairs(fx.tweets(spark, sf), roots=roots)), "pairs")
 
 
 def evidence(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(split rows, golden rows, all pairs, pairs allowed in the store)."""
-    rows, pairs = split_rows(spark, sf), message_pairs(spark, sf)
+    roots = root_table(spark, sf)
+    rows, pairs = split_rows(spark, sf, roots), message_pairs(spark, sf, roots)
     gold = golden_from(rows)
     return rows, gold, pairs, materialize(splits.evidence_candidates(pairs, rows, gold), "candidates")
 
