@@ -188,7 +188,8 @@ def build_index(docs: DataFrame, block: DataFrame, text_col: str, rank: int = RA
     if len(vocabulary) > MAX_VOCABULARY:
         raise ValueError("benchmark texts too long for one block: lower BLOCK_ITEMS")
     n, seen = document_frequencies(docs, text_col, set(vocabulary))
-    idf = np.log((1.0 + n) / (1.0 + np.array([seen.get(w, 0) for w in vocabulary] + [0]))) + 0.05
+    idf = np.log((1.0 + n) / (1.0 + np.array([seen.get(w, 0) for w in vocabulary]))) + 0.05
+    idf = np.append(idf, np.quantile(idf, 0.75))  # words outside the vocabulary weigh like its content words
     numbered = [[vocabulary[w] for w in p] for p in texts]
     counts = [Counter(p) for p in numbered]
     spark = docs.sparkSession
