@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from threadlens.llm.common import list_array, slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task per core
-CACHED_PIECES = 300_000  # distinct pieces a worker remembers
+CACHED_PIECES = 120_000  # distinct pieces a worker remembers within a partition
+SLICE = 2 << 20          # bytes of text encoded at once
 
 
 @lru_cache(maxsize=1)
@@ -66,11 +67,15 @@ class PieceEncoder:
         self.ids: dict[str, bytes] = {}                 # int32 ids of a piece
         self.spans: dict[str, tuple[bytes, bytes]] = {}  # int32 character starts and ends of its tokens
 
+    def forget(self) -> None:
+        self.ids, self.spans = {}, {}
+
     def learn(self, pieces: set[str], offsets: bool) -> None:
         """Encode the pieces not seen yet, thousands per call."""
         new = [p for p in pieces if p not in self.ids or offsets and p not in self.spans]
         if len(self.ids) + len(new) > CACHED_PIECES:
-            self.ids, self.spans, new = {}, {}, list(pieces)
+            self.forget()
+            new = list(pieces)
         for at in range(0, len(new), 8192):
             part = new[at:at + 8192]
             done = self.model.encode(part, is_pretokenized=True, add_special_tokens=False)
@@ -112,11 +117,17 @@ def id_bytes(path: str) -> dict[int, bytes]:
     return {rank: token for token, rank in read_ranks(path).items()}
 
 
+def decode(ids: list[int], table: dict[int, bytes]) -> bytes:
+    return b"".join(map(table.__getitem__, ids))
+
+
 def encode_column(df: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id",
-                  text_col: str = "text", offsets: bool = True) -> DataFrame:
-    """(id, ids array<int>[, starts array<int>, ends array<int>]) for every row.
+                  text_col: str = "text", offsets: bool = True, decoded: bool = False) -> DataFrame:
+    """(id, ids array<int>[, starts array<int>, ends array<int>][, decoded binary]) for every row.
 
-    ``ranks_path`` must be readable on every executor.  Work and output go in slices of about 4 MB of text.
+    ``decoded`` adds the bytes that the ids stand for, decoded in the same worker.  ``ranks_path`` must be
+    readable on every executor.  Work and output go in slices of about 2 MB of text; what a worker remembers is
+    dropped at the end of each partition.
     """
     lists = ["ids", "starts", "ends"] if offsets else ["ids"]
     kind = df.schema[id_col].dataType.simpleString()
@@ -125,16 +136,19 @@ def encode_column(df: DataFrame, ranks_path: str, pattern: str, *, id_col: str =
         enc = encoder(ranks_path, pattern)
         for batch in batches:
             texts = batch.column(1)
-            for start, stop in slices(texts):
+            for start, stop in slices(texts, SLICE):
                 done = enc.encode([t or "" for t in texts.slice(start, stop - start).to_pylist()], offsets)
                 counts = [len(d[0]) for d in done]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, stop - start),
-                     *[list_array(np.concatenate([d[k] for d in done]), counts) for k in range(len(lists))]],
-                    names=["id", *lists])
+                columns = [batch.column(0).slice(start, stop - start),
+                           *[list_array(np.concatenate([d[k] for d in done]), counts) for k in range(len(lists))]]
+                if decoded:
+                    table = id_bytes(ranks_path)
+                    columns.append(pa.array([decode(d[0].tolist(), table) for d in done], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=["id", *lists, *["decoded"] * decoded])
+        enc.forget()
 
     out = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"id {kind}, " + ", ".join(f"{c} array<int>" for c in lists))
+        run, f"id {kind}, " + ", ".join(f"{c} array<int>" for c in lists) + ", decoded binary" * decoded)
     return out.withColumnRenamed("id", id_col)
 
 
@@ -142,20 +156,20 @@ def decode_ids(ids: Column, ranks_path: str) -> Column:
     """Bytes of a list of ids; null for null, an error for an id outside the vocabulary."""
 
     @F.arrow_udf("binary")
-    def decode(column: pa.Array) -> pa.Array:
+    def decoded(column: pa.Array) -> pa.Array:
         table = id_bytes(ranks_path)
-        return pa.array([None if row is None else b"".join([table[i] for i in row])
+        return pa.array([None if row is None else decode(row, table)
                          for at in range(0, len(column), 256) for row in column.slice(at, 256).to_pylist()],
                         type=pa.binary())
 
-    return decode(ids)
+    return decoded(ids)
 
 
 def token_digests(df: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """Encode, decode again and return counts and digests: (id, n_tokens, ids_sha256, decoded_sha256)."""
-    coded = encode_column(df, ranks_path, pattern, id_col=id_col, text_col=text_col, offsets=False)
+    coded = encode_column(df, ranks_path, pattern, id_col=id_col, text_col=text_col, offsets=False, decoded=True)
     return coded.select(
         id_col, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(decode_ids(F.col("ids"), ranks_path), 256).alias("decoded_sha256"))
+        F.sha2("decoded", 256).alias("decoded_sha256"))

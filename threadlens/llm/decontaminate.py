@@ -18,25 +18,25 @@ word are never matched; repeated documents and items are matched each; only ids,
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.llm.common import slices
 from threadlens.sources.scratch import materialize
 
-WORD = regex.compile(r"[\p{L}\p{N}]+")
+WORD = re.compile(r"[^\W_]+")
 BLOCK_ITEMS, MAX_VOCABULARY = 512, 200_000
 PASSAGE, PASSAGE_STEP = 64, 48
 RANK, OVERSAMPLE, SEED = 256, 16, 5
-WINDOWS = (16, 32, 48)
-MIN_MASS, MIN_COSINE = 0.25, 0.4
+WINDOWS = (20, 48)
+MIN_MASS, MIN_COSINE = 0.25, 0.55
 SURE, LIKELY, ANSWER_WORDS, ANSWER_SHARE = 0.8, 0.6, 8, 0.75
 
 
@@ -136,7 +136,7 @@ class LatentIndex:
         out = []
         for size in WINDOWS:
             last = max(0, len(ids) - size)
-            starts = np.unique(np.append(np.arange(0, last, max(1, size // 4)), last))
+            starts = np.append(np.arange(0, last, size // 4), last)
             ends = np.minimum(starts + size, len(ids))
             share = (known[ends] - known[starts]) / np.maximum(1e-12, mass[ends] - mass[starts])
             near = np.flatnonzero(share >= MIN_MASS)
@@ -163,6 +163,9 @@ class LatentIndex:
         for p, runs in regions.items():
             for low, high, cosine in runs:
                 region = ids[low:high].tolist()
+                inside = set(region)
+                if sum(w in inside for w in self.words[p]) < LIKELY * len(self.words[p]):
+                    continue  # an upper bound of the common subsequence
                 share = common_length(self.words[p], region) / len(self.words[p])
                 if share < LIKELY:
                     continue
