@@ -147,3 +147,12 @@ def test_confusion_and_examples(spark):
     e = metrics.error_pairs(metrics.confusion_cells(df)).first()
     assert (e.errors, e.total_errors, e.error_rate) == (5, 5, 0.5)
     assert df.select(decision.normalize_truth(F.lit(" yes "))).first()[0] == "ESCALATE"
+
+
+def test_missing_inputs_escalate(spark):
+    from threadlens.operators.decision import escalation_gates
+    rows = spark.createDataFrame([("a", None, 0.9, 3), ("b", 0.9, None, 3), ("c", 0.9, 0.9, None), ("d", float("nan"), 0.9, 3), ("e", 0.95, 0.9, 3)],
+                                 "intent string, confidence double, evidence_score double, n_evidence int")
+    got = {r.intent: (r.decision, r.gate_triggered) for r in escalation_gates(rows).collect()}
+    assert got == {"a": ("ESCALATE", "low_confidence"), "b": ("ESCALATE", "weak_evidence"), "c": ("ESCALATE", "no_evidence"),
+                   "d": ("ESCALATE", "low_confidence"), "e": ("AUTO_HANDLE", "none")}

@@ -39,3 +39,19 @@ def test_annotation_files(spark, tmp_path):
     assert [(r.id, r.text, r.gold_intent) for r in rows] == [("1", "a, b", ""), ("2", "NA", "")]
     with pytest.raises(ValueError):
         read_annotations(spark, "a.txt")
+
+
+def test_columns_by_name_and_file_order(spark, tmp_path):
+    head = "author_id,extra,tweet_id,text,inbound,created_at,in_response_to_tweet_id,response_tweet_id\n"
+    folder = tmp_path / "m"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text(head + "a,z,1,x,True,Tue Oct 31 22:10:47 +0000 2017,,\n")
+    (folder / "part-1.csv").write_text(head + "".join(f"b,z,{k},{'y' * 500},False,2017-10-31 22:10:47,1,\n" for k in range(2, 40)))
+    rows = load_messages(spark, str(folder)).orderBy("ingest_seq").collect()
+    assert [r.tweet_id for r in rows] == [str(k) for k in range(1, 40)]
+    assert rows[0].author_id == "a" and str(rows[0].created_at) == "2017-10-31 22:10:47" == str(rows[1].created_at)
+    (tmp_path / "short.csv").write_text("tweet_id,text\n1,x\n")
+    with pytest.raises(ValueError, match="author_id"):
+        load_messages(spark, str(tmp_path / "short.csv"))
+    (tmp_path / "r.csv").write_text("text,more,id\nhello,1,7\n")
+    assert [tuple(r) for r in read_annotations(spark, str(tmp_path / "r.csv"), ["id", "text"]).collect()] == [("7", "hello", 1)]

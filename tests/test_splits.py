@@ -50,3 +50,17 @@ def test_evidence_and_audit(spark):
     assert all(ok for _, ok in audit.values())
     leaky = {r.check_name: r.passed for r in splits.leakage_audit(pairs, pairs, rows, gold).collect()}
     assert not leaky["indexed_test_overlap"] and not leaky["indexed_golden_overlap"]
+
+
+def test_sample_is_complete_with_null_keys(spark):
+    df = spark.createDataFrame([(str(k),) for k in range(10)] + [(None,)] * 3, "tweet_id string")
+    for n in (2, 3, 10, 12):
+        got = [r[0] for r in hash_sample(df, n, "tweet_id").collect()]
+        assert len(got) == min(n, 10) and None not in got
+
+
+def test_golden_size_follows_target(spark):
+    from threadlens.operators.golden import golden_sample
+    rows = spark.range(5000).selectExpr("cast(id as string) as tweet_id", "cast(id as string) as conversation_id",
+                                        "repeat('x', cast(id % 97 as int) + 5) as clean_text", "'other' as intent")
+    assert golden_sample(rows, target=1000).count() > 900

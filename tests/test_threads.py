@@ -75,6 +75,14 @@ def test_hot_rows_are_spread(spark):
     out = skew_lookup(facts, dim, "key", "k", spread="row", hot_rows=500)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = skew_lookup(facts, dim, "key", "k", spread="row", hot_rows=500)
+        plan = shuffled._jdf.queryExecution().executedPlan().toString()
+        keys = [x for x in plan.splitlines() if "hashpartitioning(struct(" in x or "hashpartitioning(named_struct(" in x]
+        assert keys and any("salt" in x for x in keys), plan  # rows are dealt out by key and salt together
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert out.where("key = 'hot' and v = 1").count() == 1000 and out.where("key is null and v is null").count() == 1000
 
 

@@ -29,16 +29,18 @@ def escalation_gates(df: DataFrame, *, intent: str = "intent", confidence: str =
     """Add decision, gate_triggered, reason, composite_risk and rounded inputs.
 
     Gates are tried in order; thresholds see unrounded inputs, the risk gate sees
-    the rounded risk.
+    the rounded risk.  A missing (null or NaN) input triggers its gate: nothing is handled
+    automatically on unknown values.
     """
-    i, c, e, n = (F.col(x) for x in (intent, confidence, evidence_score, n_evidence))
+    i, n = F.col(intent), F.col(n_evidence)
+    c, e = (F.when(~F.isnan(x), F.col(x)) for x in (confidence, evidence_score))
     risk = F.col("composite_risk")
     out = df.withColumn("composite_risk", composite_risk(c, e))
     gate = (F.when(i.isin(*HIGH_RISK_INTENTS), "high_risk_intent")
-            .when(c < min_confidence, "low_confidence")
-            .when(n == 0, "no_evidence")
-            .when(e < min_similarity, "weak_evidence")
-            .when(risk > RISK_THRESHOLD, "composite_risk").otherwise("none"))
+            .when(F.coalesce(c < min_confidence, F.lit(True)), "low_confidence")
+            .when(F.coalesce(n == 0, F.lit(True)), "no_evidence")
+            .when(F.coalesce(e < min_similarity, F.lit(True)), "weak_evidence")
+            .when(F.coalesce(risk > RISK_THRESHOLD, F.lit(True)), "composite_risk").otherwise("none"))
     out = out.withColumn("gate_triggered", gate)
     g = F.col("gate_triggered")
     # Reason wording.
@@ -46,12 +48,12 @@ def escalation_gates(df: DataFrame, *, intent: str = "intent", confidence: str =
         F.when(g == "high_risk_intent", F.concat(
             F.lit("Intent '"), i, F.lit("' is high-risk (financial/security). Always requires human review.")))
         .when(g == "low_confidence", F.concat(
-            F.lit("Classifier confidence "), fixed2(c),
+            F.lit("Classifier confidence "), F.coalesce(fixed2(c), F.lit("missing")),
             F.lit(f" < threshold {min_confidence}. Intent prediction is uncertain.")))
         .when(g == "no_evidence", F.lit(
             "No historical support examples retrieved. Cannot generate a grounded response."))
         .when(g == "weak_evidence", F.concat(
-            F.lit("Retrieval evidence score "), fixed2(e),
+            F.lit("Retrieval evidence score "), F.coalesce(fixed2(e), F.lit("missing")),
             F.lit(f" < threshold {min_similarity}. Historical examples are not sufficiently similar.")))
         .when(g == "composite_risk", F.concat(
             F.lit("Composite risk score "), fixed2(risk), F.lit(f" > {RISK_THRESHOLD} (confidence="), fixed2(c),

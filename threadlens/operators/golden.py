@@ -13,8 +13,6 @@ from threadlens.functions.text import is_blank
 from threadlens.plans.hash_order import hash_key
 from threadlens.schema import DOUBLE_LABEL_N, GOLDEN_SIZE, SEED
 
-STRATUM_CEILING = 50   # max(15, 200)//4: no stratum can ask for more with the default sizes
-
 
 def length_quartiles(rows: DataFrame, *, text: str = "clean_text", group: str = "intent") -> DataFrame:
     """Add text_len and len_quartile (0-based) from per-intent quantile edges.
@@ -31,11 +29,12 @@ def length_quartiles(rows: DataFrame, *, text: str = "clean_text", group: str =
         .withColumn("len_quartile", F.size(inner)).drop("__g", "__e")
 
 
-def stratified_pick(rows: DataFrame, *, per_intent: int | None = None, seed: int = SEED) -> DataFrame:
+def stratified_pick(rows: DataFrame, *, per_intent: int | None = None, target: int = GOLDEN_SIZE, seed: int = SEED) -> DataFrame:
     """The first n rows in hash order of every (intent, quartile) stratum.
 
-    n is per_intent//4, or by default max(15, 200//number of intents)//4, at least 1.
-    The constant ceiling in the filter makes Spark trim each stratum to that many
+    n is per_intent//4, or by default max(15, target//number of intents)//4, at least 1;
+    a target under the default size still draws from strata of the default size.
+    The ceiling in the filter, n for a single intent, makes Spark trim each stratum to that many
     rows before the shuffle, so the dominant intent never lands in one task.
     """
     picked = length_quartiles(rows).withColumn("__h", hash_key(F.col("tweet_id"), seed))
@@ -43,9 +42,11 @@ def stratified_pick(rows: DataFrame, *, per_intent: int | None = None, seed: int
     picked = picked.withColumn("__rn", F.row_number().over(w))
     if per_intent is not None:
         return picked.where(F.col("__rn") <= max(1, per_intent // 4))
+    target = max(target, GOLDEN_SIZE)
     intents = rows.agg(F.count_distinct("intent"))
-    n = F.greatest(F.lit(1), F.floor(F.greatest(F.lit(15), F.floor(F.lit(GOLDEN_SIZE) / intents.scalar())) / 4))
-    return picked.where((F.col("__rn") <= STRATUM_CEILING) & (F.col("__rn") <= n))
+    n = F.greatest(F.lit(1), F.floor(F.greatest(F.lit(15), F.floor(F.lit(target) / intents.scalar())) / 4))
+    ceiling = target // 4  # no stratum can ask for more
+    return picked.where((F.col("__rn") <= ceiling) & (F.col("__rn") <= n))
 
 
 def golden_sample(test: DataFrame, *, target: int = GOLDEN_SIZE, per_intent: int | None = None,
@@ -55,7 +56,7 @@ def golden_sample(test: DataFrame, *, target: int = GOLDEN_SIZE, per_intent: int
 
     Numbering runs over at most ``target`` rows.
     """
-    picked = stratified_pick(test, per_intent=per_intent, seed=seed)
+    picked = stratified_pick(test, per_intent=per_intent, target=target, seed=seed)
     once = Window.partitionBy("tweet_id").orderBy("intent", "len_quartile")
     top = picked.withColumn("__d", F.row_number().over(once)).where("__d = 1").orderBy("__h", "tweet_id").limit(target)
     blank = F.lit("")

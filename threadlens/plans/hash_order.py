@@ -65,6 +65,10 @@ def at_or_before(col: Column, cut: Column, seed: int = SEED) -> Column:
 
 
 def hash_sample(df: DataFrame, n: int, key: str, *, seed: int = SEED, width: int = WIDTH) -> DataFrame:
-    """The n rows first in hash order of the unique column ``key`` (all rows if fewer)."""
+    """The n rows first in hash order of the unique column ``key`` (all rows with a key if fewer).
+
+    Rows without a key have no place in the order: they neither count nor are chosen.
+    """
+    df = df.where(F.col(key).isNotNull())
     cut = cut_keys(df, key, {"last": lambda total: F.lit(n)}, seed=seed, width=width)
     return df.where(at_or_before(F.col(key), cut.select("last").scalar(), seed))

@@ -54,8 +54,9 @@ def skew_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, *
         needs_salt = needs_salt | F.col("__hk").isNotNull()
     work = work.withColumn("__salt", F.when(
         needs_salt, F.lit(1) + F.pmod(F.xxhash64(spread), F.lit(SALT)).cast("int")).otherwise(F.lit(0)))
-    joined = work.join(packed.withColumn("__dsalt", F.lit(0)),
-                       (F.col(fact_key) == F.col("__dk")) & (F.col("__salt") == F.col("__dsalt")), "left")
+    # one struct key: a separate literal salt would be folded out of the join key, and rows shuffled by the raw key
+    joined = work.join(packed, F.struct(F.col(fact_key).alias("k"), F.col("__salt").alias("s"))
+                       == F.struct(F.col("__dk").alias("k"), F.lit(0).alias("s")), "left")
     answer = F.coalesce("__hot", "__cold") if hot_rows is not None else F.col("__cold")
     joined = joined.withColumn("__ans", answer)
     if how == "inner":

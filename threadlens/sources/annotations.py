@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from threadlens.sources.messages import by_name, file_order
+
 ANNOTATION_COLUMNS = ["id", "tweet_id", "conversation_id", "text", "auto_intent", "gold_intent", "should_escalate",
                       "gold_reply_quality", "double_label", "notes"]
 
@@ -13,15 +15,19 @@ ANNOTATION_COLUMNS = ["id", "tweet_id", "conversation_id", "text", "auto_intent"
 def read_annotations(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """All-string rows with ``row_no`` in file order; blank cells stay ''.
 
-    ``row_no`` increases along each file; with one file it counts 1, 2, 3, …
+    CSV columns are taken by header name, a missing one is an error.  ``row_no`` increases along each
+    file and from file to file by path; with one file it counts 1, 2, 3, …
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns or ANNOTATION_COLUMNS])
+    wanted = columns or ANNOTATION_COLUMNS
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in wanted])
     suffix = path.rsplit(".", 1)[-1].lower()
     if suffix == "json":
-        df = spark.read.schema(schema).option("multiLine", True).json(path)
+        raw = spark.read.schema(schema).option("multiLine", True).json(path)
+        df = raw.select("*", "_metadata")
     elif suffix == "csv":
-        df = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
-              .option("nullValue", "\u0000").option("emptyValue", "").csv(path)).na.fill("")
+        raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+               .option("nullValue", "\u0000").option("emptyValue", "").csv(path))
+        df = by_name(raw, wanted).na.fill("", wanted)
     else:
         raise ValueError("Annotation file must be JSON or CSV.")
-    return df.withColumn("row_no", F.monotonically_increasing_id() + 1)
+    return df.withColumn("row_no", file_order(raw) + 1).drop("_metadata")

@@ -532,7 +532,6 @@ def graded_docs(spark, sf):
 
 DISCOVERY = features.TfidfSpec(min_df=5, max_df=0.85, max_features=5000, sublinear=False,
                                stop_words=tuple(fx.STOP_WORDS))
-FAST = features.TfidfSpec(max_features=2000)
 
 
 @query
@@ -565,7 +564,7 @@ def cluster_terms(spark, sf):
 @query
 def tfidf_lr(spark, sf):
     """Trained on the labelled documents, applied to all of them."""
-    model = models.fit_tfidf_lr(graded_docs(spark, sf), key="doc_id", text="text", spec=FAST)
+    model = models.fit_tfidf_lr(graded_docs(spark, sf), key="doc_id", text="text", spec=features.CLASSIFIER)
     return model.predict(docs(spark, sf)).select("doc_id", "prediction", half_even(F.col("confidence"), 3).alias("confidence"))
 
 
@@ -593,13 +592,13 @@ def predict_with_confidence(spark, sf):
 def tune_regularization(spark, sf):
     rows = splits.conversation_split(graded_docs(spark, sf), key="doc_id")
     table, _ = models.tune_regularization(rows.where("split = 'train'"), rows.where("split = 'validation'"),
-                                          key="doc_id", text="text", spec=FAST)
+                                          key="doc_id", text="text", spec=features.CLASSIFIER)
     return table
 
 
 @query
 def top_features(spark, sf):
-    model = models.fit_tfidf_lr(graded_docs(spark, sf), key="doc_id", text="text", spec=FAST)
+    model = models.fit_tfidf_lr(graded_docs(spark, sf), key="doc_id", text="text", spec=features.CLASSIFIER)
     return model.top_features(10).select("intent", "rank", "term", half_even(F.col("coefficient"), 4).alias("coefficient"))
 
 
@@ -621,7 +620,7 @@ def scoring_inputs(spark, sf):
     """Messages with vectors, a model trained on the train split, and the evidence store."""
     vectors = materialize(fx.message_vectors(spark, sf), "vectors")
     rows, _, _, allowed = evidence(spark, sf)
-    model = models.fit_tfidf_lr(rows.where("split = 'train'"), spec=FAST)
+    model = models.fit_tfidf_lr(rows.where("split = 'train'"), spec=features.CLASSIFIER)
     store = sinks.evidence_rows(allowed, vectors.withColumnRenamed("tweet_id", "customer_tweet_id"))
     return vectors, model, sinks.write_evidence_store(store, shared_folder(spark, "store"))
 
