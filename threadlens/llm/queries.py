@@ -29,9 +29,11 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     second vocabulary and deleting the documents of another rule; all through signed deltas."""
     docs = table(spark, sf, "documents").select("doc_id", "source", "lang", "text")
     day = fold("doc_id")
-    first, second = (counts.count_tokens(F.col("text"), public_tokenizers.path(p), public_tokenizers.PATTERN) for p in (BYTE_ONE, BYTE_MULTI))
+    # a null instead of a text that needs no second count: Spark runs Python functions on every row, whatever the condition around them
+    first, second = (counts.count_tokens(text, public_tokenizers.path(p), public_tokenizers.PATTERN)
+                     for p, text in ((BYTE_ONE, F.col("text")), (BYTE_MULTI, F.when(day == 0, F.col("text")))))
     counted = materialize(docs.select("doc_id", "source", "lang", day.alias("day"), (F.crc32(F.reverse(F.col("doc_id").cast("string")).cast("binary")) % 10).alias("leaves"),
-                                      first.alias("one"), F.when(day == 0, second).alias("multi")), "token-counts")
+                                      first.alias("one"), second.alias("multi")), "token-counts")
     rollup = counts.Rollup(spark, shared_folder(spark, "token-rollup"))
     for k in (0, 1, 2, 1):  # the second load comes twice
         rollup.apply(f"load-{k}", counts.signed(counted.where(F.col("day") == k), 1, "one", BYTE_ONE))
