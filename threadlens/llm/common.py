@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 SLICE_BYTES = 4 << 20   # text handled at once inside a task
 SLICE_ROWS = 2048
@@ -44,3 +45,15 @@ def list_array(flat: np.ndarray, counts: list[int]) -> pa.ListArray:
     offsets = np.zeros(len(counts) + 1, dtype=np.int32)
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
+def first_rows(rows: DataFrame, group: str, order: list[Column | str], n: int) -> DataFrame:
+    """The ``n`` rows of each group that come first in ``order``.
+
+    Rows are ranked among those of one task in 256 first, so the last ranking reads at most 256 * ``n`` rows of a
+    group however many tasks there are; the rows chosen do not depend on how they were dealt out.
+    """
+    left = rows.withColumn("__part", F.pmod(F.spark_partition_id(), F.lit(256)))
+    for keys in ([group, "__part"], [group]):
+        left = left.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(f"__rank <= {n}")
+    return left.drop("__part", "__rank")

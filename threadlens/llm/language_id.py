@@ -23,9 +23,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from threadlens.llm.common import slices
+from threadlens.llm.common import first_rows, slices
 
 UNKNOWN = "und"
 LENGTH = 384                       # bytes of a window
@@ -127,9 +126,8 @@ class ByteNetwork:
 def training_windows(labelled: DataFrame, *, id_col: str, text_col: str, lang_col: str, docs: int = LEARN_DOCS,
                      per_language: int = LEARN_WINDOWS) -> tuple[list[str], np.ndarray, np.ndarray]:
     """A bounded sample: windows of ``docs`` rows per language, first in hash order, then ``per_language`` windows."""
-    rank = F.row_number().over(Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col))
-    ids = labelled.where(F.col(lang_col).isNotNull()).select(id_col, lang_col).withColumn("r", rank).where(f"r <= {docs}") \
-        .select(F.col(id_col).alias("i")).distinct()
+    ids = first_rows(labelled.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(lang_col).alias("lang")),
+                     "lang", [F.xxhash64("i"), "i"], docs).select("i").distinct()
     if ids.count() > docs * MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     chosen = labelled.join(F.broadcast(ids), F.col(id_col) == F.col("i"), "left_semi")  # bounded by the check above
@@ -140,8 +138,7 @@ def training_windows(labelled: DataFrame, *, id_col: str, text_col: str, lang_co
         return pa.array([[w.tobytes() for w in windows([t])[0]] if t and LETTER.search(t) else [] for t in texts.to_pylist()], pa.list_(pa.binary()))
 
     parts = chosen.select(F.col(lang_col).alias("lang"), F.explode(cut(F.col(text_col).cast("string"))).alias("w"))
-    order = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("w"), "w"))
-    rows = parts.withColumn("r", order).where(f"r <= {per_language}").select("lang", "w").orderBy("lang", "w").collect()
+    rows = first_rows(parts, "lang", [F.xxhash64("w"), "w"], per_language).orderBy("lang", "w").collect()
     languages = sorted({r.lang for r in rows})
     if not rows:
         return [], np.empty((0, LENGTH), np.uint8), np.empty(0, np.int64)
