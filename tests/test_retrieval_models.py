@@ -123,3 +123,15 @@ def test_scoring_batch_and_stream_agree(spark, train, vectors):
         score_stream(stream, model, store, out=out, checkpoint=progress).awaitTermination()
     got = {r.tweet_id: (r.decision, r.reply) for r in spark.read.parquet(out).collect()}
     assert got == {k: (v.decision, v.reply) for k, v in batch.items()}
+
+
+def test_tfidf_shuffles_no_text(spark):
+    docs = materialize(spark.createDataFrame([(1, "aa bb aa"), (2, "aa cc"), (3, ""), (4, None)], "doc_id int, text string"), "docs")
+    vocab = features.tfidf_vocabulary(docs, features.TfidfSpec(min_df=1, max_df=1.0))
+    assert {(r.term, r.df, r.cf) for r in vocab.collect()} == {
+        ("aa", 2, 3), ("bb", 1, 1), ("cc", 1, 1), ("aa bb", 1, 1), ("bb aa", 1, 1), ("aa cc", 1, 1)}
+    for df in (vocab, features.tfidf_weights(docs, vocab)):
+        plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        shuffles = [part for part in plan.split("\n\n") if ") Exchange" in part.split("\n")[0]]
+        assert shuffles and not any("text#" in part for part in shuffles)
+        assert "Python" not in plan

@@ -39,17 +39,20 @@ def term_counts(docs: DataFrame, spec: TfidfSpec = CLASSIFIER, *, key: str = "do
                 text: str = "text") -> DataFrame:
     """(key, term, tf).  ``key`` must identify a document.
 
-    Documents are hash-partitioned by key before they are unfolded, so counting per
-    (key, term) and any later grouping by key reuse that one shuffle of whole texts
-    instead of shuffling every token.
+    Terms are counted inside the row: sorted, equal terms stand together, and a term's
+    count is the distance between the places where it and the next term start.  No text
+    or token is shuffled.
     """
     toks = tokens(F.col(text))
     if spec.stop_words:
         stops = F.array(*[F.lit(w) for w in spec.stop_words])
         toks = F.filter(toks, lambda t: ~F.array_contains(stops, t))
-    unfolded = docs.select(key, text).repartition(key).withColumn("t", toks) \
-        .select(key, F.explode(ngrams(F.col("t"), spec.max_n)).alias("term"))
-    return unfolded.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    g, s = F.col("g"), F.col("s")
+    grams = docs.select(key, toks.alias("t")).select(key, F.sort_array(ngrams(F.col("t"), spec.max_n)).alias("g"))
+    starts = grams.withColumn("s", F.filter(
+        F.transform(g, lambda x, i: F.when((i == 0) | (x != F.get(g, i - 1)), i)), lambda i: i.isNotNull()))
+    return starts.select(key, F.inline(F.transform(s, lambda i, p: F.struct(
+        F.get(g, i).alias("term"), (F.coalesce(F.get(s, p + 1), F.size(g)) - i).cast("long").alias("tf")))))
 
 
 def tfidf_vocabulary(docs: DataFrame, spec: TfidfSpec = CLASSIFIER, *, key: str = "doc_id",
