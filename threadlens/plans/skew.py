@@ -9,16 +9,17 @@ HOT_ROWS = 1_000_000      # a key with this many fact rows is split out
 MAX_HOT = 1_000           # at most this many keys are broadcast ...
 MAX_ROW_BYTES = 65_536    # ... with at most this much payload each; others take the shuffle path
 SALT = 1024
+TRACKED = 10_000          # keys that the sketch of frequent keys follows
 
 
 def hot_keys(facts: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT) -> DataFrame:
-    """The most frequent non-null keys with at least ``hot_rows`` rows, at most ``max_hot``.
+    """The most frequent non-null keys with about ``hot_rows`` rows or more, at most ``max_hot``.
 
-    Counting combines map-side, so a dominant key costs one row per task.
+    Counted by a sketch of at most TRACKED keys a task, so only one small row of each task is shuffled; which keys
+    it finds decides no result.
     """
-    return (facts.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__hk")).count()
-            .where(F.col("count") >= hot_rows)
-            .orderBy(F.desc("count"), "__hk").limit(max_hot).select("__hk"))
+    top = facts.where(F.col(key).isNotNull()).agg(F.expr(f"approx_top_k(`{key}`, {max_hot}, {max(TRACKED, max_hot)})").alias("t"))
+    return top.select(F.explode("t").alias("t")).where(F.col("t.count") >= hot_rows).select(F.col("t.item").alias("__hk"))
 
 
 def skew_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, *,
