@@ -8,8 +8,6 @@ import __spark_entry__ as entry
 from tests.check_oracles import compare, duck
 
 SF = "/root/testdata/sf0.001"
-# the heaviest compositions are left to check_oracles.py
-SLOW = {"tfidf_features", "write_evidence_store", "evidence_candidates", "exclusion_set", "double_label_subset", "write_splits"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
@@ -17,7 +15,7 @@ def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_sql(spark, name):
     ok, detail, _ = compare(spark, duck(SF), name, SF)
     assert ok, detail

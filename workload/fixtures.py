@@ -198,8 +198,10 @@ def message_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def case_store(spark: SparkSession, sf: str) -> DataFrame:
-    """Evidence store for the prompt queries: embeddings with the document of the same number."""
+    """Evidence store for the prompt queries: every document with a vector of the embeddings table by position."""
+    emb = table(spark, sf, "embeddings").select(F.col("vec_id").alias("e"), "embedding")
+    n = emb.agg(F.count(F.lit(1)))
     docs = table(spark, sf, "documents").select(
         F.col("doc_id").alias("vec_id"), F.col("text").alias("customer_text"), F.col("source").alias("brand_text"),
-        F.col("lang").alias("conversation_id"))
-    return table(spark, sf, "embeddings").select("vec_id", "embedding").join(docs, "vec_id")
+        F.col("lang").alias("conversation_id")).withColumn("n", n.scalar())
+    return docs.withColumn("e", F.pmod("vec_id", "n")).join(emb, "e").drop("e", "n")

@@ -116,11 +116,11 @@ CTE: dict[str, tuple[str, list[str]]] = {
              "from emb q, emb s", ["emb"]),
     "topk": (f"select query_id, rank, store_id, {re_('score', 4)} as similarity from (select *, row_number() over "
              "(partition by query_id order by score desc, store_id) as rank from sims) where rank<=5", ["sims"]),
-    "cases": ("select d.doc_id as vec_id, text as customer_text, source as brand_text, lang as conversation_id from documents d "
-              "join embeddings e on e.vec_id=d.doc_id", []),
+    "cases": ("select d.doc_id as vec_id, text as customer_text, source as brand_text, lang as conversation_id, v, nv from documents d "
+              "join emb e on e.vec_id=d.doc_id%(select count(*) from embeddings)", ["emb"]),
     "casetop": (f"select query_id, rank, store_id, {re_('score', 4)} as similarity from (select *, row_number() over "
-                "(partition by query_id order by score desc, store_id) as rank from sims where query_id in (select vec_id from cases) "
-                "and store_id in (select vec_id from cases)) where rank<=5", ["sims", "cases"]),
+                "(partition by query_id order by score desc, store_id) as rank from (select q.vec_id as query_id, s.vec_id as store_id, "
+                "round(list_inner_product(q.v,s.v)/(q.nv*s.nv), 12) as score from cases q, cases s where q.vec_id<>s.vec_id)) where rank<=5", ["cases"]),
     "matched": ("select c.vec_id, c.customer_text as message, c.conversation_id, m.* from cases c join (select query_id, "
                 f"list(struct_pack(c:=s.customer_text, b:=s.brand_text) order by rank) as ev, {re_('avg(similarity)', 4)} as evidence_score "
                 "from casetop join cases s on s.vec_id=store_id group by query_id) m on m.query_id=c.vec_id", ["cases", "casetop"]),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from threadlens.functions.judge import parse_judge_outputs
 from threadlens.functions.numeric import half_even
@@ -12,6 +13,7 @@ from threadlens.functions.text import INTENTS, clean_text, label_intent
 from threadlens.operators import annotation, brands, decision, features, golden, judging, metrics, models, profile
 from threadlens.operators import retrieval, splits, threads
 from threadlens.operators.scoring import score_messages as score
+from threadlens.schema import TOP_K
 from threadlens.sources import annotations as annotation_source
 from threadlens.sources import messages as message_source
 from threadlens.sources import sinks
@@ -170,9 +172,10 @@ def length_histogram(spark, sf):
 
 
 def prompt_rows(spark, sf) -> DataFrame:
-    """Every case of the store as a message, with its top matches as evidence."""
-    store = fx.case_store(spark, sf)
-    top = retrieval.topk_similar(store, store, query_id="vec_id", store_id="vec_id")
+    """Every case of the store as a message, with its top matches other than itself as evidence."""
+    store = materialize(fx.case_store(spark, sf), "cases")
+    top = retrieval.topk_similar(store, store, TOP_K + 1, query_id="vec_id", store_id="vec_id").where("query_id <> store_id")
+    top = top.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("rank"))).where(F.col("rank") <= TOP_K)
     evidence = retrieval.attach_evidence(top, store, store_id="vec_id")
     return store.select("vec_id", F.col("customer_text").alias("message"), "conversation_id").join(
         evidence, F.col("vec_id") == F.col("query_id"))
