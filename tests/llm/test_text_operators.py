@@ -94,6 +94,26 @@ def test_fertility_keeps_clean_documents(spark):
     assert rows.where("not kept").count() == 0
 
 
+def test_fertility_rejects_labelled_junk(spark):
+    """Past the base rule, most junk that no band has seen is rejected and no good document."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = QUERIES["op1_tokenizer_fertility"](spark, sf).join(labels, "doc_id").where("not base_failed").select("doc_id", "quality", "kept", "reasons").collect()
+    held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    junk = [r for r in held if r.quality == 0]
+    assert len(junk) > 50 and sum(not r.kept for r in junk) > 0.6 * len(junk)
+    assert all(r.kept for r in held if r.quality == 1)
+
+
+def test_fertility_bands_per_vocabulary():
+    values = np.array([[2.0 + 0.01 * (k % 5), 0.0, 0.7] for k in range(40)])
+    learned = {"en": (fertility.learn_band(values, np.full(40, 1000)), fertility.learn_band(values + [[1.0, 0, 0]], np.full(40, 1000)))}
+    assert fertility.judge("en", "", [(2.0, 0, 0.7), (3.0, 0, 0.7)], 1000, learned) == ("en", "")
+    assert fertility.judge("en", "", [(2.0, 0, 0.7), (2.0, 0, 0.7)], 1000, learned) == ("en", "short_tokens")
+    assert fertility.judge("en", "", [(3.0, 0, 0.7), (3.0, 0, 0.7)], 1000, learned) == ("en", "long_tokens")
+    assert fertility.judge("de", "", [(3.0, 0, 0.7), (3.0, 0, 0.7)], 1000, learned) == ("de", "")
+
+
 def test_license_places(spark, documents):
     for r in QUERIES["op4_license_scan"](spark, SF).collect():
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute.license_places(documents[r.doc_id], licenses.BASE_PHRASES)

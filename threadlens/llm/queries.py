@@ -16,7 +16,9 @@ BYTE_MULTI, BYTE_ONE, PIECES = "byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.tikt
 
 def op1_tokenizer_fertility(spark: SparkSession, sf: str) -> DataFrame:
     paths = {"piece": public_tokenizers.path(PIECES), "byte": public_tokenizers.path(BYTE_MULTI)}
-    return fertility.fertility_rules(table(spark, sf, "documents"), paths, public_tokenizers.PATTERN)
+    docs = table(spark, sf, "documents")
+    learned = fertility.fit_bands(docs, table(spark, sf, "labels").where(fold() != 1), paths, public_tokenizers.PATTERN)
+    return fertility.fertility_rules(docs, paths, public_tokenizers.PATTERN, learned=learned)
 
 
 def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
