@@ -147,6 +147,25 @@ def test_bad_license_expressions(bad):
     assert licenses.scan(f"SPDX-License-Identifier: {bad}\n")[8] == 1
 
 
+@pytest.mark.parametrize("text,labels,expressions,acceptable", [
+    ("Licensed under CC BY-NC 4.0.", "cc-by-nc,cc-by-nc-4.0", ["CC-BY-NC-4.0"], False),
+    ("(Licensed under the CC-BY-4.0)", "cc-by,cc-by-4.0", ["CC-BY-4.0"], True),
+    ("Text: CC BY-SA 3.0, pictures: CC BY", "cc-by,cc-by-sa", [], None),
+    ("Released under CC BY-NC-ND 4.0", "cc-by-nc-nd", [], None),
+    ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0", "cc-by-nc-sa", [], None),
+    ("please cc by Friday, cc by hand", "", [], None),
+    ("Licensed under MIT OR (GPL-2.0-only AND ISC). See LICENSE", "gpl-2.0-only,isc,mit", ["MIT OR (GPL-2.0-only AND ISC)"], True),
+    ("Licensed under GPL-2.0 WITH Classpath-exception-2.0.", "gpl-2.0 with classpath-exception-2.0", ["GPL-2.0 WITH Classpath-exception-2.0"], False),
+    ("Licensed under Apache-2.0 and other terms", "apache-2.0", [], None),
+    ("Licensed under MIT, GPL-3.0", "gpl-3.0,mit", [], None),
+    ("Licensed under contract law. Licensed under and with (", "", [], None),
+    ("x licensed under ISC; y licensed under GPL-3.0-only", "gpl-3.0-only,isc", ["ISC", "GPL-3.0-only"], False)])
+def test_license_short_notices(text, labels, expressions, acceptable):
+    row = licenses.scan(text)
+    assert (row[5], row[7], row[8], row[9]) == (labels, expressions, 0, acceptable)
+    assert row[6] == (1.0 if expressions else 0.7 if labels else 0.0)
+
+
 def test_language_held_out(spark):
     sf = "/root/testdata/sf0.01"
     langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}

@@ -4,7 +4,9 @@ A text's words are runs of letters, digits and non-ASCII bytes, ASCII letters fo
 automaton over the words joined by single blanks finds every place of every phrase, overlapping ones too.
 Where the identifier tag stands, the rest of its line is parsed as an expression with AND, OR, WITH and
 parentheses (WITH binds strongest, then AND); the identifiers become labels and the expression is evaluated
-against the accepted licences.
+against the accepted licences.  Behind 'licensed under' the same parser reads as far as known identifiers go; names in
+words stop it, so prose is never an invalid expression, and an expression that is not whole gives labels only.  Of
+notice phrases within one another the longest decides the label ('cc by nc' is no 'cc by').
 
 Null and empty texts have no words, no labels and score 0.  An expression that does not parse is kept as
 invalid and lowers the score.  Places are counted once per occurrence; repeated rows are scanned each.
@@ -29,10 +31,26 @@ NOTICE_PHRASES = {
     "mozilla public license": "mpl", "gnu lesser general public license": "lgpl", "gnu affero general public license": "agpl",
     "eclipse public license": "epl", "creative commons attribution": "cc-by", "isc license": "isc", "boost software license": "bsl",
     "permission is hereby granted free of charge": "mit-like", "this is free and unencumbered software": "unlicense",
-    "all rights reserved": "all-rights-reserved",
+    "all rights reserved": "all-rights-reserved", "cc0": "cc0", "creative commons zero": "cc0",
 }
+# Creative Commons terms in any written form: (short, spelled out) for every combination.
+NC, SA, ND = ["noncommercial", "non commercial"], ["sharealike", "share alike"], ["noderivatives", "no derivatives", "noderivs", "no derivs"]
+for short, spelled in [("", [""]), ("nc", NC), ("sa", SA), ("nd", ND), ("nc sa", [f"{x} {y}" for x in NC for y in SA]), ("nc nd", [f"{x} {y}" for x in NC for y in ND]),
+                       ("nd nc", [f"{y} {x}" for x in NC for y in ND])]:
+    label = "-".join(["cc-by", *sorted(short.split(), key=["nc", "sa", "nd"].index)])
+    NOTICE_PHRASES |= {f"{start} {rest}".strip(): label for start, rests in (("cc by", [short]), ("creative commons attribution", spelled), ("creative commons by", [short])) for rest in rests}
+BARE = "cc by"   # also a word of letters ('please cc by Friday'), so its writing decides
+BARE_WRITTEN = regex.compile(r"(?<![A-Za-z0-9])(?:CC[\s_-]+BY|(?i:cc[-_]by)|(?i:cc\s+by)(?=[\s_-]+(?:[1-4][.]\d|(?i:licen[cs]e|international))))(?![A-Za-z0-9])(?![\s_-]+(?i:nc|sa|nd)(?![A-Za-z0-9]))")
 TAG = "spdx license identifier"
 TAG_LINE = regex.compile(r"(?i)spdx-license-identifier\s*:[ \t]*([^\r\n]*)")
+UNDER = ("licensed under", "licenced under")
+UNDER_PLACE = regex.compile(r"(?i)licen[cs]ed[^A-Za-z0-9\x80-\U0010FFFF]+under[^A-Za-z0-9\x80-\U0010FFFF(]+(?:the\s+)?")
+UNDER_TOKEN = regex.compile(r"[ \t]*(?:(?P<cc>(?i:cc[ \t_-]+by)(?:[ \t_-]+(?i:nc|sa|nd)(?![A-Za-z0-9]))*(?:[ \t_-]+[1-4]\.\d(?!\d))?(?![A-Za-z0-9]))|(?P<sign>[(),/&])|(?P<word>[A-Za-z0-9][A-Za-z0-9.+:-]*))")
+KNOWN = regex.compile(
+    r"mit(-0)?|isc|zlib|unlicense|0bsd|wtfpl|x11|ncsa|postgresql|openssl|ms-(pl|rl)|bsd(-\d-clause(-[a-z-]+)?)?|cc0(-1\.0)?|cc-by(-nc)?(-sa|-nd)?(-\d\.\d)?|"
+    r"(apache|mpl|epl|cddl|cpl|bsl|afl|apsl|osl|ofl|eupl|artistic|lppl|odbl|pddl|python|psf|ecl|upl|mulanpsl|blueoak|cecill)-[0-9][0-9.a-z-]*|"
+    r"([al]?gpl|gfdl)(-\d(\.\d)*)?(-only|-or-later|\+)?|licenseref-[a-z0-9.-]+")
+EXCEPTION = regex.compile(r"[a-z0-9.-]*(exception|linking|foss)[a-z0-9.-]*")
 ACCEPTED = frozenset("mit apache-2.0 bsd-2-clause bsd-3-clause isc unlicense 0bsd bsl-1.0 zlib cc0-1.0 cc-by-4.0".split())
 ACCEPTED_WITH = frozenset({("apache-2.0", "llvm-exception")})
 
@@ -112,25 +130,69 @@ def identifiers(postfix: list[str]) -> list[str]:
 def automaton():
     import ahocorasick
     made = ahocorasick.Automaton()
-    for phrase in [*BASE_PHRASES, *NOTICE_PHRASES, TAG]:
+    for phrase in [*BASE_PHRASES, *NOTICE_PHRASES, TAG, *UNDER]:
         made.add_word(f" {phrase} ", phrase)
     made.make_automaton()
     return made
 
 
+def read_under(text: str, at: int) -> tuple[list[str], str | None]:
+    """(identifiers, expression) written at ``at``; the expression is None if it does not parse or is not whole."""
+    tokens, whole, gap = [], True, False
+    while m := UNDER_TOKEN.match(text, at):
+        sign, word = m["sign"], m["cc"] and regex.sub(r"[ \t_-]+", "-", m["cc"]) or (m["word"] or "").rstrip(".:-")
+        low = word.lower()
+        if sign and sign in ",/&":
+            gap = True
+        elif sign:
+            tokens.append(sign)
+        elif low in PRECEDENCE or KNOWN.fullmatch(low) or tokens and tokens[-1].lower() == "with" and EXCEPTION.fullmatch(low):
+            whole &= not gap  # a list does not say whether all of it or one of it holds
+            tokens.append(word)
+        else:
+            break
+        at = m.end()
+        if m["word"] and m["word"] != word:
+            break  # end of the sentence
+    while tokens and (tokens[-1] == "(" or tokens[-1].lower() in PRECEDENCE):
+        whole &= tokens.pop() == "("
+    if tokens.count(")") == tokens.count("(") + 1 and tokens[-1] == ")":
+        tokens.pop()  # closes what was opened before 'licensed'
+    names = [t.lower() for t in tokens if KNOWN.fullmatch(t.lower())]
+    written = regex.sub(r"\( | \)", lambda x: x[0].strip(), " ".join(tokens))
+    try:
+        identifiers(to_postfix(written))
+    except BadExpression:
+        whole = False
+    return names, written if whole else None
+
+
+def longest(places: list[tuple[int, int, str]]) -> set[str]:
+    """Phrases of (start, end, phrase) that stand somewhere outside a longer one."""
+    kept, reach = set(), -1
+    for start, end, phrase in sorted(places, key=lambda p: (p[0], -p[1])):
+        if end > reach:
+            kept.add(phrase)
+            reach = end
+    return kept
+
+
 def scan(text: str | None) -> tuple:
     """(n_words, n_base, first_word, last_word, base_labels, labels, score, expressions, invalid, acceptable)."""
     words = (text or "").encode().translate(WORDS).split()
     line = " " + b" ".join(words).decode("latin-1") + " "  # one character per byte
-    starts, found, tagged = [], set(), False
+    starts, found, tagged, under, notices = [], set(), False, False, []
     for end, phrase in automaton().iter(line):
         if phrase in BASE_PHRASES:
             starts.append(end - len(phrase) - 1)
             found.add(BASE_PHRASES[phrase])
         elif phrase == TAG:
             tagged = True
+        elif phrase in UNDER:
+            under = True
         else:
-            found.add(NOTICE_PHRASES[phrase])
+            notices.append((end - len(phrase) - 1, end, phrase))
+    found.update(NOTICE_PHRASES[p] for p in longest(notices) if p != BARE or BARE_WRITTEN.search(text))
     base = sorted(found & set(BASE_PHRASES.values()))
     expressions, invalid, verdicts, named = [], 0, [], set()
     for written in TAG_LINE.findall(text) if tagged else []:
@@ -142,6 +204,15 @@ def scan(text: str | None) -> tuple:
             expressions.append(written)
         except BadExpression:
             invalid += 1
+    for place in UNDER_PLACE.finditer(text) if under else []:
+        names, written = read_under(text, place.end())
+        if written is None:
+            found.update(names)
+            continue
+        postfix = to_postfix(written)
+        verdicts.append(evaluate(postfix))
+        named.update(identifiers(postfix))
+        expressions.append(written)
     score = 0.0 if not (found or named or invalid) else 1.0 if named and not invalid else 0.9 if base else 0.7 if found else 0.3
     first = last = None
     if starts:
