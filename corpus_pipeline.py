@@ -26,7 +26,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of every group of near duplicates."""
-    kept = near_dedup.near_duplicates(docs, percent=85).where("kept").select(F.col("doc_id").alias("__id")).distinct()
+    kept = near_dedup.near_duplicates(docs, percent=80).where("kept").select(F.col("doc_id").alias("__id")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
 
 

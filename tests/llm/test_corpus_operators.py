@@ -55,6 +55,30 @@ def test_near_duplicates_against_brute_force(spark):
     assert got == brute.near_components(rows)
 
 
+def test_bands_follow_from_the_threshold():
+    assert near_dedup.banding(85) == (44, 9)
+    for percent in (50, 70, 80, 85, 90, 99):
+        bands, width = near_dedup.banding(percent)
+        assert (1 - (percent / 100) ** width) ** bands <= 1e-5 and bands * width <= 400
+
+
+def test_pipeline_joins_pairs_from_080(spark):
+    """A whole fixture, and a few hundred pairs planted between 0.80 and 0.85, by brute force."""
+    rng = random.Random(12)
+    rows = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    middle = 0
+    for k in range(300):
+        base = [f"p{k}w{j}" for j in range(rng.randint(55, 90))]
+        tail = rng.randint(4, 10)
+        for n, text in enumerate((base, base[:-tail] + [f"q{k}w{j}" for j in range(tail)])):
+            rows[1_000_000 + 2 * k + n] = " ".join(text)
+        a, b = (brute.shingle_set(rows[1_000_000 + 2 * k + n]) for n in (0, 1))
+        middle += 0.80 <= len(a & b) / len(a | b) < 0.85
+    assert middle > 50
+    kept = {r.doc_id for r in corpus_pipeline.one_of_each(spark, docs(spark, rows.items()), SF).collect()}
+    assert kept == {i for i, (_, root) in brute.near_components(rows, percent=80).items() if i == root}
+
+
 def test_near_duplicates_small_cells(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 4)  # many cells per bucket
     rng = random.Random(5)

@@ -1,9 +1,10 @@
 """MinHash near-duplicate detection on word shingles.
 
-1. Every text becomes the set of its distinct five-word shingles (64-bit hashes), and 396 universal hash
-   minima of that set.  Rows with equal sets form one class; its smallest id stands for it.
-2. 44 bands of 9 minima put class representatives into buckets.  A pair at the threshold of 0.85 shares no
-   bucket with probability (1 - 0.85**9)**44 = 9e-6, a more similar pair with less.
+1. Every text becomes the set of its distinct five-word shingles (64-bit hashes), and some 400 universal hash
+   minima of that set at most (``banding``).  Rows with equal sets form one class; its smallest id stands for it.
+2. Bands of minima put class representatives into buckets.  Their number and width follow from the threshold, so
+   that a pair at it shares no bucket with probability 1e-5 at most, a more similar pair with less: 44 bands of 9 at
+   0.85, (1 - 0.85**9)**44 = 9e-6, and 49 bands of 7 at 0.80.
 3. Every member of a bucket meets the smallest one.  Pairs pass size and signature estimates and are confirmed
    on the full sets; links join components.  This settles groups of copies, however large, with one pair each.
 4. Buckets that still hold several components are dealt out in cells of bounded size (pairs of blocks), where
@@ -12,7 +13,7 @@
 5. Components are the fixed point of alternating large-star and small-star steps over the links.
 
 A pair whose signatures agree in less than 4.5 standard deviations below the threshold is not confirmed on
-sets; at a similarity of 0.85 that has a probability of 3e-6.  No bucket, cell or partner count is capped.
+sets; at the threshold that has a probability of about 3e-6.  No bucket, cell or partner count is capped.
 
 Null, empty and blank texts have an empty set and stay alone.  Texts of fewer than five words have one
 shingle, the whole sequence.  Rows that repeat an id are one node of the links, and each gets the component of
@@ -22,7 +23,9 @@ its own text.  Only the id and text columns are read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,7 @@ from threadlens.llm.common import slices
 from threadlens.sources.scratch import materialize
 
 WIDTH = 5
-BANDS, BAND_ROWS = 44, 9
+MISSED, MOST_MINIMA = 1e-5, 400
 DEVIATIONS = 4.5
 BLOCK = 512            # documents of one side of a cell
 SLICE = 1 << 20        # bytes of text hashed at once
@@ -127,24 +130,37 @@ def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return least
 
 
-def band_hashes(least: np.ndarray) -> np.ndarray:
+@lru_cache
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, minima in each): the widest bands that miss a pair at the threshold with probability MISSED at most."""
+    found = (1, 1)  # equal sets agree in everything
+    for width in range(1, MOST_MINIMA + 1) if percent < 100 else ():
+        bands = math.ceil(math.log(MISSED) / math.log1p(-(percent / 100) ** width))
+        if bands * width > MOST_MINIMA and width > 1:
+            break
+        found = (bands, width)
+    return found
+
+
+def band_hashes(least: np.ndarray, bands: int) -> np.ndarray:
     """One 64-bit key per band, different between bands."""
-    rows = least.reshape(BANDS, BAND_ROWS).astype(np.uint64)
-    key = mix(np.arange(BANDS, dtype=np.uint64))
-    for k in range(BAND_ROWS):
+    rows = least.reshape(bands, -1).astype(np.uint64)
+    key = mix(np.arange(bands, dtype=np.uint64))
+    for k in range(rows.shape[1]):
         key = mix(key * np.uint64(31) + rows[:, k])
     return key.view(np.int64)
 
 
-def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = 85) -> DataFrame:
     """(id, n_shingles, set_key, signature, bands) per row; the last three are null for empty sets.
 
     The signature keeps the lowest byte of every minimum, bands their 64-bit keys.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    bands, band_rows = banding(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, (a, b) = Shingler(width), coefficients(BANDS * BAND_ROWS)
+        shingler, (a, b) = Shingler(width), coefficients(bands * band_rows)
         for batch in batches:
             for start, stop in slices(batch.column(1), SLICE):
                 sets = shingler.sets(batch.column(1).slice(start, stop - start).to_pylist())
@@ -153,7 +169,7 @@ def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
                     batch.column(0).slice(start, stop - start), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                     pa.array([None if m is None else m.astype(np.uint8).tobytes() for m in least], pa.binary()),
-                    pa.array([None if m is None else band_hashes(m) for m in least], pa.list_(pa.int64()))],
+                    pa.array([None if m is None else band_hashes(m, bands) for m in least], pa.list_(pa.int64()))],
                     names=["id", "n_shingles", "set_key", "signature", "bands"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
@@ -189,7 +205,7 @@ def sets_similar(left: pa.Array, right: pa.Array, percent: pa.Array) -> pa.Array
 
 def enough(percent: int) -> float:
     """Agreeing minima that a pair at the threshold has with all but a negligible probability."""
-    n, s = BANDS * BAND_ROWS, percent / 100
+    n, s = math.prod(banding(percent)), percent / 100
     return n * s - DEVIATIONS * (n * s * (1 - s)) ** 0.5
 
 
@@ -283,7 +299,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     width: int = WIDTH) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every document; see the module's text."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    signed = materialize(signatures(source, id_col="id", width=width), "signatures")
+    signed = materialize(signatures(source, id_col="id", width=width, percent=percent), "signatures")
     classes = signed.where("set_key is not null").groupBy("set_key").agg(F.min("id").alias("first"))
     member = signed.select("id", "n_shingles", "set_key").join(classes, "set_key", "left").select(
         "id", "n_shingles", F.coalesce("first", "id").alias("first"))
