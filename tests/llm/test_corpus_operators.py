@@ -142,6 +142,23 @@ def test_decontamination_finds_planted_and_paraphrased(spark):
     assert decontaminate.find_contamination(docs(spark, rows), bench.where("item_id < 0")).count() == 0
 
 
+def test_decontamination_of_a_common_passage(spark):
+    """A short item in a third of all documents is found in each of them."""
+    rng = random.Random(21)
+    bench = {k: [f"i{k}w{j}" for j in range(15)] for k in range(12)}
+    rows, want = [], set()
+    for d in range(900):
+        w = [f"n{rng.randrange(9000)}" for _ in range(rng.randint(30, 200))]
+        if d % 3 == 0:
+            at = rng.randrange(len(w))
+            w[at:at] = bench[4]
+            want.add((d, 4))
+        rows.append((d, " ".join(w)))
+    table = spark.createDataFrame([(k, " ".join(w)) for k, w in bench.items()], "item_id long, text string")
+    found = decontaminate.find_contamination(docs(spark, rows), table)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == want
+
+
 def test_decontamination_answer_check(spark):
     base = [f"q{k}" for k in range(40)]
     bench = spark.createDataFrame([(1, " ".join(base), "q5 q6 q7")], "item_id long, text string, answer string")

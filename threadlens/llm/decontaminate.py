@@ -6,8 +6,9 @@
 3. A distributed randomised SVD of the passages' TF-IDF matrix gives the latent space: Spark tasks multiply
    their passages with a thin matrix and partial products are added up (``gram_times``); only matrices of
    vocabulary x rank of one block reach the driver, never anything from the documents.
-4. Every window of every document is looked at.  Windows whose weight lies too little in benchmark words are
-   skipped; the others are projected and compared with all passages by cosine.
+4. Every window of every document is looked at.  Windows whose weight lies too little in benchmark words, counted
+   over documents and over passages, are skipped; the others are projected and compared with all passages by cosine.
+   Besides, every run of three words that stands in a passage makes a candidate, however common its words are.
 5. Candidates are proved on the words around them: the longest common subsequence with the passage must reach
    ``SURE`` of its words, or ``LIKELY`` of them while the answer is found too (paraphrases).  The answer is the
    ``answer`` column, if there is one, else the last ``ANSWER_WORDS`` words of the passage.
@@ -51,6 +52,20 @@ def passages(words: list[str]) -> list[list[str]]:
     return [words[s:s + PASSAGE] for s in starts] if words else []
 
 
+def grams(words: np.ndarray, size: int, base: int) -> np.ndarray:
+    """One number for each run of ``size`` words."""
+    n = max(0, len(words) - size + 1)
+    key = np.zeros(n, dtype=np.int64)
+    for k in range(size):
+        key = key * base + words[k:k + n]
+    return key
+
+
+def seed_size(n_words: int) -> int:
+    """Length of the run that a passage shares with every text holding SURE of its words in order."""
+    return min(n_words, 3) if n_words not in (2, 5) else n_words // 2
+
+
 def common_length(a: list, b: list) -> int:
     """Length of the longest common subsequence; a row of the table is one big integer."""
     where: dict = {}
@@ -123,6 +138,8 @@ class LatentIndex:
     items: list                     # item id of each passage
     words: list[list[int]]          # passage words as vocabulary numbers
     answers: list[list[int]]
+    rarity: np.ndarray              # as idf, but over the passages
+    seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # length of run: (sorted keys, place after each key's last, passages)
 
     def numbers(self, words: list[str]) -> np.ndarray:
         get, none = self.vocabulary.get, len(self.vocabulary)
@@ -130,15 +147,17 @@ class LatentIndex:
 
     def candidates(self, ids: np.ndarray) -> list[tuple[int, int, int, float]]:
         """(passage, first word, end, cosine) of all windows near a passage."""
-        mass = self.idf[ids] ** 2
-        known = np.where(ids < len(self.vocabulary), mass, 0.0)
-        mass, known = (np.concatenate([[0.0], np.cumsum(x)]) for x in (mass, known))
-        out = []
+        sums = []
+        for weights in (self.idf, self.rarity):
+            mass = weights[ids] ** 2
+            known = np.where(ids < len(self.vocabulary), mass, 0.0)
+            sums.append([np.concatenate([[0.0], np.cumsum(x)]) for x in (mass, known)])
+        out = self.seeded(ids)
         for size in WINDOWS:
             last = max(0, len(ids) - size)
             starts = np.append(np.arange(0, last, size // 4), last)
             ends = np.minimum(starts + size, len(ids))
-            share = (known[ends] - known[starts]) / np.maximum(1e-12, mass[ends] - mass[starts])
+            share = np.maximum(*((known[ends] - known[starts]) / np.maximum(1e-12, mass[ends] - mass[starts]) for mass, known in sums))
             near = np.flatnonzero(share >= MIN_MASS)
             for at in range(0, len(near), 64):
                 part = near[at:at + 64]
@@ -148,6 +167,22 @@ class LatentIndex:
                 out += [(int(p), int(starts[part[w]]), int(ends[part[w]]), float(cosine[w, p])) for w, p in np.argwhere(cosine >= MIN_COSINE)]
         return out
 
+    def seeded(self, ids: np.ndarray) -> list[tuple[int, int, int, float]]:
+        """(passage, first word, end, cosine) of all runs of words that stand in a passage; places near each other once."""
+        out = []
+        for size, (keys, ends, owners) in self.seeds.items():
+            here = grams(ids, size, len(self.vocabulary) + 1)
+            at = np.minimum(np.searchsorted(keys, here), len(keys) - 1)
+            hits = np.flatnonzero(keys[at] == here)
+            last: dict[int, int] = {}
+            for s, k in zip(hits.tolist(), at[hits].tolist()):
+                for p in owners[ends[k - 1] if k else 0:ends[k]].tolist():
+                    if s - last.get(p, -size) >= size:  # every word of the run lies in a region already, or begins one
+                        last[p] = s
+                        x, y = self.space[ids[s:s + size]].sum(axis=0), self.points[p]
+                        out.append((p, s, s + size, float(x @ y) / max(1e-12, float(np.linalg.norm(x)))))
+        return out
+
     def prove(self, ids: np.ndarray) -> list[tuple]:
         """(item, cosine, share of the passage in common, answer found, first word) of proven passages, best per item."""
         regions: dict[int, list] = {}
@@ -194,6 +229,9 @@ def build_index(docs: DataFrame, block: DataFrame, text_col: str, rank: int = RA
     idf = np.log((1.0 + n) / (1.0 + np.array([seen.get(w, 0) for w in vocabulary]))) + 0.05
     idf = np.append(idf, np.quantile(idf, 0.75))  # words outside the vocabulary weigh like its content words
     numbered = [[vocabulary[w] for w in p] for p in texts]
+    held = np.bincount([t for p in numbered for t in set(p)], minlength=len(vocabulary))
+    rarity = np.log((1.0 + len(texts)) / (1.0 + held)) + 0.05
+    rarity = np.append(rarity, np.quantile(rarity, 0.75))
     counts = [Counter(p) for p in numbered]
     spark = docs.sparkSession
     rows = spark.createDataFrame([(list(c), [float(f * idf[t]) for t, f in c.items()]) for c in counts], "terms array<int>, weights array<double>")
@@ -203,7 +241,21 @@ def build_index(docs: DataFrame, block: DataFrame, text_col: str, rank: int = RA
     points = np.stack([space[p].sum(axis=0) for p in numbered])
     points /= np.maximum(1e-12, np.linalg.norm(points, axis=1, keepdims=True))
     return LatentIndex(vocabulary, idf, space.astype(np.float32), points.astype(np.float32), items, numbered,
-                       [[vocabulary[w] for w in a] for a in answers])
+                       [[vocabulary[w] for w in a] for a in answers], rarity, seeds_of(numbered, len(vocabulary) + 1))
+
+
+def seeds_of(numbered: list[list[int]], base: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of words of all passages by their length; see ``LatentIndex.seeds``."""
+    pairs: dict[int, set] = {}
+    for p, words in enumerate(numbered):
+        size = seed_size(len(words))
+        pairs.setdefault(size, set()).update((key, p) for key in grams(np.array(words), size, base).tolist())
+    out = {}
+    for size, found in pairs.items():
+        flat = np.array(sorted(found), dtype=np.int64)
+        keys, counts = np.unique(flat[:, 0], return_counts=True)
+        out[size] = keys, np.cumsum(counts), flat[:, 1]
+    return out
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
