@@ -159,6 +159,20 @@ def test_decontamination_of_a_common_passage(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == want
 
 
+def test_decontamination_finds_quotes_at_every_offset(spark):
+    rng = random.Random(22)
+    whole = [f"t{rng.randrange(4000)}" if rng.random() < 0.6 else rng.choice(["the", "of", "and", "in"]) for _ in range(190)]
+    rows = []
+    for size in (50, 64, 73, 80):
+        for at in range(0, len(whole) - size + 1):
+            around = [[f"n{rng.randrange(5000)}" for _ in range(25)] for _ in "ab"]
+            rows.append((1000 * size + at, " ".join(around[0] + whole[at:at + size] + around[1])))
+    rows += [(k, " ".join(f"n{rng.randrange(5000)}" for _ in range(80)) + " " + " ".join(whole[at:at + 25])) for k, at in enumerate((0, 40, 77, 120))]
+    table = spark.createDataFrame([(1, " ".join(whole)), (2, "other words than these of any text here")], "item_id long, text string")
+    found = decontaminate.find_contamination(docs(spark, rows), table).collect()
+    assert {r.doc_id for r in found} == {i for i, _ in rows if i >= 1000} and {r.item_id for r in found} == {1}
+
+
 def test_decontamination_answer_check(spark):
     base = [f"q{k}" for k in range(40)]
     bench = spark.createDataFrame([(1, " ".join(base), "q5 q6 q7")], "item_id long, text string, answer string")

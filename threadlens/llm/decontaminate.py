@@ -11,7 +11,9 @@
    Besides, every run of three words that stands in a passage makes a candidate, however common its words are.
 5. Candidates are proved on the words around them: the longest common subsequence with the passage must reach
    ``SURE`` of its words, or ``LIKELY`` of them while the answer is found too (paraphrases).  The answer is the
-   ``answer`` column, if there is one, else the last ``ANSWER_WORDS`` words of the passage.
+   ``answer`` column, if there is one, else the last ``ANSWER_WORDS`` words of the passage.  An item of several passages
+   is proved on runs of PASSAGE words at every PROOF_STEP words around the passage, so that a quote across the border
+   of two passages counts whole; ``QUOTE`` words of it in one piece are proof, too.
 
 Only contaminated (document, item) pairs are returned.  Null and empty texts match nothing, items without a
 word are never matched; repeated documents and items are matched each; only ids, texts and answers are read.
@@ -34,7 +36,8 @@ from threadlens.sources.scratch import materialize
 
 WORD = re.compile(r"[^\W_]+")
 BLOCK_ITEMS, MAX_VOCABULARY = 512, 200_000
-PASSAGE, PASSAGE_STEP = 64, 48
+PASSAGE, PASSAGE_STEP, PROOF_STEP = 64, 48, 8
+QUOTE = 39             # LIKELY words of a passage
 RANK, OVERSAMPLE, SEED = 256, 16, 5
 WINDOWS = (20, 48)
 MIN_MASS, MIN_COSINE = 0.25, 0.55
@@ -66,6 +69,12 @@ def seed_size(n_words: int) -> int:
     return min(n_words, 3) if n_words not in (2, 5) else n_words // 2
 
 
+def quoted(a: list[int], b: list[int], size: int) -> bool:
+    """Whether ``size`` words of ``a`` stand in ``b`` in one piece."""
+    a, b = ("".join(map(chr, x)) for x in (a, b))
+    return any(a[k:k + size] in b for k in range(len(a) - size + 1))
+
+
 def common_length(a: list, b: list) -> int:
     """Length of the longest common subsequence; a row of the table is one big integer."""
     where: dict = {}
@@ -138,7 +147,10 @@ class LatentIndex:
     items: list                     # item id of each passage
     words: list[list[int]]          # passage words as vocabulary numbers
     answers: list[list[int]]
+    given: list[bool]               # whether the passage's item has an answer of its own, else the last words
     rarity: np.ndarray              # as idf, but over the passages
+    starts: list[int]               # where a passage begins in its item
+    wholes: list[list[int]]         # whole item of each passage; shared lists
     seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # length of run: (sorted keys, place after each key's last, passages)
 
     def numbers(self, words: list[str]) -> np.ndarray:
@@ -183,6 +195,27 @@ class LatentIndex:
                         out.append((p, s, s + size, float(x @ y) / max(1e-12, float(np.linalg.norm(x)))))
         return out
 
+    def share(self, p: int, region: list[int]) -> tuple[float, bool, bool]:
+        """(share in common, answer found, quoted in one piece) of a passage or of the best run around it in its item."""
+        inside, whole, best = set(region), self.wholes[p], (0.0, False, False)
+        if len(whole) <= PASSAGE:
+            runs = [self.words[p]]
+        else:
+            low, high = max(0, self.starts[p] - PASSAGE), min(len(whole), self.starts[p] + 2 * PASSAGE)
+            firsts = {*range(-(-low // PROOF_STEP) * PROOF_STEP, high - PASSAGE + 1, PROOF_STEP), low, high - PASSAGE}
+            runs = [whole[s:s + PASSAGE] for s in sorted(firsts)]
+        for run in runs:
+            if sum(w in inside for w in run) < LIKELY * len(run):
+                continue  # an upper bound of the common subsequence
+            share = common_length(run, region) / len(run)
+            if share < LIKELY:
+                continue
+            answer = self.answers[p] if self.given[p] or len(runs) == 1 else run[-ANSWER_WORDS:]
+            found = bool(answer) and common_length(answer, region) >= ANSWER_SHARE * len(answer)
+            piece = len(runs) > 1 and share < SURE and not found and quoted(run, region, QUOTE)
+            best = max(best, (share, found, piece), key=lambda x: (x[0] >= SURE or x[1] or x[2], x))
+        return best
+
     def prove(self, ids: np.ndarray) -> list[tuple]:
         """(item, cosine, share of the passage in common, answer found, first word) of proven passages, best per item."""
         regions: dict[int, list] = {}
@@ -197,16 +230,8 @@ class LatentIndex:
         best: dict = {}
         for p, runs in regions.items():
             for low, high, cosine in runs:
-                region = ids[low:high].tolist()
-                inside = set(region)
-                if sum(w in inside for w in self.words[p]) < LIKELY * len(self.words[p]):
-                    continue  # an upper bound of the common subsequence
-                share = common_length(self.words[p], region) / len(self.words[p])
-                if share < LIKELY:
-                    continue
-                answer = self.answers[p]
-                found = bool(answer) and common_length(answer, region) >= ANSWER_SHARE * len(answer)
-                if share >= SURE or found:
+                share, found, piece = self.share(p, ids[low:high].tolist())
+                if share >= SURE or found or piece:
                     mine = (share, cosine, found, low)
                     best[self.items[p]] = max(best.get(self.items[p], mine), mine)
         return [(item, b[1], b[0], b[2], b[3]) for item, b in best.items()]
@@ -214,11 +239,11 @@ class LatentIndex:
 
 def build_index(docs: DataFrame, block: DataFrame, text_col: str, rank: int = RANK) -> LatentIndex | None:
     """Index of one block (columns item, text, answer), with document frequencies of ``docs``."""
-    items, texts, answers = [], [], []
+    items, texts, answers, starts, wholes, given = [], [], [], [], [], []
     for r in block.collect():  # one block: at most BLOCK_ITEMS items
         whole = words_of(r.text)
-        for p in passages(whole):
-            items.append(r.item), texts.append(p)
+        for k, p in enumerate(passages(whole)):
+            items.append(r.item), texts.append(p), starts.append(min(k * PASSAGE_STEP, max(0, len(whole) - PASSAGE))), wholes.append(whole), given.append(bool(r.answer))
             answers.append(words_of(r.answer) if r.answer else p[-ANSWER_WORDS:])
     vocabulary = {w: k for k, w in enumerate(sorted({w for p in texts + answers for w in p}))}
     if not texts:
@@ -240,8 +265,10 @@ def build_index(docs: DataFrame, block: DataFrame, text_col: str, rank: int = RA
     space = np.concatenate([space * idf[:-1, None], np.zeros((1, space.shape[1]))])
     points = np.stack([space[p].sum(axis=0) for p in numbered])
     points /= np.maximum(1e-12, np.linalg.norm(points, axis=1, keepdims=True))
+    coded = {id(w): [vocabulary[x] for x in w] for w in wholes}
     return LatentIndex(vocabulary, idf, space.astype(np.float32), points.astype(np.float32), items, numbered,
-                       [[vocabulary[w] for w in a] for a in answers], rarity, seeds_of(numbered, len(vocabulary) + 1))
+                       [[vocabulary[w] for w in a] for a in answers], given, rarity, starts, [coded[id(w)] for w in wholes],
+                       seeds_of(numbered, len(vocabulary) + 1))
 
 
 def seeds_of(numbered: list[list[int]], base: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
