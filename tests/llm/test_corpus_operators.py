@@ -28,7 +28,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in queries.QUERIES} and "pipeline" in entry.queries()
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in queries.QUERIES} and "pipeline" in entry.queries()
 
 
 def variants(rng, words, n):

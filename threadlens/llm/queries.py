@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm import bpe, chat, decontaminate, fertility, language_id, licenses, near_dedup, quality, warc
+from threadlens.llm import bpe, chat, decontaminate, fertility, language_id, licenses, near_dedup, pca_clusters, quality, warc
 from threadlens.llm import token_counts as counts
 from threadlens.llm.common import fold, table
 from threadlens.sources.scratch import materialize, shared_folder
@@ -87,11 +87,36 @@ def op10_pairwise_quality(spark: SparkSession, sf: str) -> DataFrame:
         .withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
-QUERIES = {f.__name__: f for f in (op1_tokenizer_fertility, op2_decontaminate, op3_token_counts, op4_license_scan, op5_chat_format,
-                                   op6_language_id, op7_minhash_dedup, op8_warc_salvage, op9_byte_bpe, op10_pairwise_quality)}
+def op11_pca_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return pca_clusters.cluster_vectors(table(spark, sf, "embeddings"))
 
 
-# SQL can state these three; the others need a vocabulary, a fitted model or an automaton and are tested by brute force.
+QUERIES = {f.__name__: f for f in (op1_tokenizer_fertility, op2_decontaminate, op3_token_counts, op4_license_scan, op5_chat_format,
+                                   op6_language_id, op7_minhash_dedup, op8_warc_salvage, op9_byte_bpe, op10_pairwise_quality, op11_pca_clusters)}
+
+
+def cluster_sql(clusters: int = 40, rounds: int = 5) -> str:
+    """Rounds of exact assignment and exact floor means, one pair of subqueries a round."""
+    parts = [f"""
+        kept as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+          where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x::double))) = 64),
+        c0 as (select (row_number() over (order by h, v) - 1)::int as c, v from (select sha256('2:' || vec_id::varchar) as h, v from kept) order by h, v limit {clusters})"""]
+    for r in range(rounds + 1):
+        parts.append(f"""
+        a{r} as (select vec_id, any_value(k.v) as v, arg_min(c, (d, c)) as c, min(d) as d from (
+          select k.vec_id, k.v, m.c, list_sum(list_transform(list_zip(k.v, m.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as d
+          from kept k, c{r} m) k group by vec_id)""")
+        if r < rounds:
+            parts.append(f"""
+        s{r} as (select c, place, sum(x)::bigint as s, count(*) as n from (select c, unnest(v) as x, unnest(range(64)) as place from a{r}) group by c, place),
+        c{r + 1} as (select m.c, coalesce(f.v, m.v) as v from c{r} m left join (
+          select c, list((s - ((s % n) + n) % n) // n order by place) as v from s{r} group by c) f on f.c = m.c)""")
+    return "with" + ",".join(parts) + f"""
+        select vec_id, a.c as cluster, d as distance, (sum(d) over (partition by a.c))::bigint as cluster_inertia, (sum(d) over ())::bigint as inertia,
+          sha256(array_to_string(m.v, ',')) as centroid_sha256 from a{rounds} a join c{rounds} m on m.c = a.c"""
+
+
+# SQL can state these four; the others need a vocabulary, a fitted model or an automaton and are tested by brute force.
 ORACLES = {
     "op5_chat_format": r"""
         with said as (
@@ -129,4 +154,5 @@ ORACLES = {
             max(page_id) over (partition by h) as latest from digests)
         select page_id, payload_bytes, payload_digest, case when page_id < latest then 'revisit' else 'response' end as record_type,
           case when page_id < latest then latest end as refers_to from coded""",
+    "op11_pca_clusters": cluster_sql(),
 }
