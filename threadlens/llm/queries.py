@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm import bpe, chat, decontaminate, fertility, language_id, licenses, near_dedup, pca_clusters, quality, warc
+from threadlens.llm import bpe, chat, decontaminate, fertility, language_id, licenses, near_dedup, pca_clusters, quality, token_alignment, warc
 from threadlens.llm import token_counts as counts
 from threadlens.llm.common import fold, table
 from threadlens.sources.scratch import materialize, shared_folder
 
 BYTE_MULTI, BYTE_ONE, PIECES = "byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
+BYTE_JSON = "byte_bpe_50k.json"
 
 
 def op1_tokenizer_fertility(spark: SparkSession, sf: str) -> DataFrame:
@@ -91,8 +92,13 @@ def op11_pca_clusters(spark: SparkSession, sf: str) -> DataFrame:
     return pca_clusters.cluster_vectors(table(spark, sf, "embeddings"))
 
 
+def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return token_alignment.align_tokenizers(table(spark, sf, "documents"), public_tokenizers.path(BYTE_JSON), public_tokenizers.path(PIECES), public_tokenizers.PATTERN)
+
+
 QUERIES = {f.__name__: f for f in (op1_tokenizer_fertility, op2_decontaminate, op3_token_counts, op4_license_scan, op5_chat_format,
-                                   op6_language_id, op7_minhash_dedup, op8_warc_salvage, op9_byte_bpe, op10_pairwise_quality, op11_pca_clusters)}
+                                   op6_language_id, op7_minhash_dedup, op8_warc_salvage, op9_byte_bpe, op10_pairwise_quality, op11_pca_clusters,
+                                   op12_token_alignment)}
 
 
 def cluster_sql(clusters: int = 40, rounds: int = 5) -> str:
