@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm import bpe, chat, decontaminate, fertility, language_id, licenses, near_dedup, pca_clusters, quality, token_alignment, warc
+from threadlens.llm import bpe, chat, decontaminate, fertility, language_id, licenses, near_dedup, pca_clusters, personal_data, quality, token_alignment, warc
 from threadlens.llm import token_counts as counts
 from threadlens.llm.common import fold, table
 from threadlens.sources.scratch import materialize, shared_folder
@@ -96,9 +96,22 @@ def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return token_alignment.align_tokenizers(table(spark, sf, "documents"), public_tokenizers.path(BYTE_JSON), public_tokenizers.path(PIECES), public_tokenizers.PATTERN)
 
 
+def op13_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    found = personal_data.find_personal_data(table(spark, sf, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def told(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, personal_data.KINDS), F.sha2(told(base).cast("binary"), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (op1_tokenizer_fertility, op2_decontaminate, op3_token_counts, op4_license_scan, op5_chat_format,
                                    op6_language_id, op7_minhash_dedup, op8_warc_salvage, op9_byte_bpe, op10_pairwise_quality, op11_pca_clusters,
-                                   op12_token_alignment)}
+                                   op12_token_alignment, op13_personal_data)}
 
 
 def cluster_sql(clusters: int = 40, rounds: int = 5) -> str:
