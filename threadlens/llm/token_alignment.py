@@ -25,6 +25,7 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,29 +42,46 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task
 PIECE = 4096           # merge steps of one piece
 SLICE = 1 << 20        # bytes of text aligned at once
 BLOCK = 8 << 20        # bytes of text of one block
-REMEMBERED = 150_000   # distinct pieces a worker remembers per vocabulary
+REMEMBERED = 100_000   # distinct pieces of a generation that a worker remembers, per vocabulary
 LINKS = 1 << 20        # links laid out at once
 WIDE = 1 << 12         # groups with more links are counted by distinct ids first
 BLANK = "▁"
 
 
 class Pieces:
-    """Token ids of distinct pieces in one vocabulary, with a bounded memory."""
+    """Token ids of distinct pieces in one vocabulary; those seen lately are remembered, in two generations."""
 
     def __init__(self) -> None:
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[str, bytes] = {}   # int32 ids
+        self.older: dict[str, bytes] = {}
         self.broken: set[str] = set()       # pieces whose tokens are not their bytes
 
     def learn(self, pieces: set[str]) -> None:
-        new = list(pieces.difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, self.broken, new = {}, set(), list(pieces)
+        if len(self.known) > REMEMBERED:
+            self.broken.intersection_update(self.known)
+            self.known, self.older = {}, self.known
+        new = []
+        for piece in pieces.difference(self.known):
+            ids = self.older.get(piece)
+            if ids is None:
+                new.append(piece)
+            else:
+                self.known[piece] = ids
         for at in range(0, len(new), 8192):
             part = new[at:at + 8192]
-            for piece, ids in zip(part, self.encode(part)):
-                self.known[piece] = np.array(ids, dtype=np.int32).tobytes()
-                if b"".join(map(self.bytes.__getitem__, ids)) != piece.encode():
-                    self.broken.add(piece)
+            ids, counts = self.encode(part)
+            cuts = np.cumsum(counts)
+            data = ids.tobytes()
+            bounds = [0, *(4 * cuts).tolist()]
+            self.known.update(zip(part, [data[low:high] for low, high in zip(bounds, bounds[1:])]))
+            sizes = np.diff(np.concatenate([[0], np.cumsum(self.lengths[ids])])[cuts], prepend=0)
+            raw = [p.encode() for p in part]
+            if sizes.tolist() != [len(r) for r in raw] or b"".join(map(self.bytes.__getitem__, ids.tolist())) != b"".join(raw):
+                self.broken.update(p for p, r, low, high in zip(part, raw, [0, *cuts.tolist()], cuts.tolist())
+                                   if b"".join(map(self.bytes.__getitem__, ids[low:high].tolist())) != r)
 
     def finish(self) -> None:
         self.lengths = np.array([len(b) for b in self.bytes], dtype=np.int64)
@@ -78,7 +96,7 @@ class ByteLevel(Pieces):
 
     def __init__(self, path: str, pattern: str):
         super().__init__()
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True  # their strings inside texts are plain text
         code = {c: b for b, c in enumerate(byte_characters())}
@@ -86,11 +104,13 @@ class ByteLevel(Pieces):
         self.bytes = [b""] * (1 + max(vocabulary.values()))
         for token, k in vocabulary.items():
             self.bytes[k] = bytes(code[c] for c in token) if all(c in code for c in token) else token.encode()
+        self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)  # pieces are cut already
         self.cut = regex.compile(pattern).findall
         self.finish()
 
-    def encode(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch(pieces, add_special_tokens=False)]
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        done = self.model.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        return np.array(done.ids, dtype=np.int32), np.bincount(np.array(done.word_ids, dtype=np.int64), minlength=len(pieces))
 
 
 class SentencePieces(Pieces):
@@ -102,7 +122,7 @@ class SentencePieces(Pieces):
         super().__init__()
         import sentencepiece
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        size = self.model.get_piece_size()
+        size, self.blank = self.model.get_piece_size(), [self.model.piece_to_id(BLANK)]
         names = [self.model.id_to_piece(k) for k in range(size)]
         self.bytes = [bytes([int(n[3:5], 16)]) if self.model.is_byte(k) else n.replace(BLANK, " ").encode() for k, n in enumerate(names)]
         if any(BLANK in n.lstrip(BLANK) for n in names):
@@ -110,9 +130,10 @@ class SentencePieces(Pieces):
         self.cut = regex.compile(r" +[^ ]*").findall
         self.finish()
 
-    def encode(self, pieces: list[str]) -> list[list[int]]:
-        # it adds the first blank, but none to nothing
-        return [ids or [self.model.piece_to_id(BLANK)] for ids in self.model.encode([p[1:] for p in pieces], num_threads=1)]
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # the model adds the first blank, but none to nothing
+        ids = [x or self.blank for x in self.model.encode([p[1:] for p in pieces], num_threads=1)]
+        return np.fromiter(chain.from_iterable(ids), dtype=np.int32), np.array([len(x) for x in ids], dtype=np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -309,8 +330,7 @@ def aligned_blocks(docs: DataFrame, a_path: str, b_path: str, pattern: str, *, i
                     name, ids, done, size = name + 1, [], [], 0
         if done:
             yield to_block(name, ids, done, kind)
-        for v in (a, b):
-            v.known, v.broken = {}, set()
+        a.forget(), b.forget()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
