@@ -140,13 +140,34 @@ def test_license_expressions(expression, accepted):
     assert row[6] == 1.0 and row[7] == [expression] and row[9] is accepted
 
 
-@pytest.mark.parametrize("bad", ["", "MIT OR", "AND MIT", "(MIT", "MIT)", "MIT Apache-2.0", "MIT (GPL)", "()"])
+@pytest.mark.parametrize("bad", ["", "MIT OR", "AND MIT", "(MIT", "MIT)", "MIT Apache-2.0", "MIT (GPL)", "()", "MIT WITH MIT WITH MIT", "(MIT OR ISC) WITH MIT", "MIT WITH (MIT)", "MIT WITH"])
 def test_bad_license_expressions(bad):
     with pytest.raises(licenses.BadExpression):
         licenses.to_postfix(bad)
     assert licenses.scan(f"SPDX-License-Identifier: {bad}\n")[8] == 1
 
 
+def test_random_license_expressions_never_end_the_job():
+    rng = random.Random(6)
+    tokens = ["MIT", "ISC", "GPL-2.0", "Apache-2.0", "LLVM-exception", "AND", "or", "WITH", "with", "(", ")", ",", "banana", "CC BY-NC 4.0", "."]
+    for _ in range(20_000):
+        written = " ".join(rng.choice(tokens) for _ in range(rng.randint(0, 9)))
+        for notice in ("Licensed under ", "SPDX-License-Identifier: "):
+            row = licenses.scan(notice + written)
+            assert 0 <= row[6] <= 1 and "banana" not in row[5]
+            for expression in row[7]:
+                licenses.evaluate(licenses.to_postfix(expression))
+
+
+def test_unknown_identifiers_are_no_labels():
+    assert licenses.scan("SPDX-License-Identifier: banana")[5:7] == ("", 0.3)
+    assert licenses.scan("SPDX-License-Identifier: MIT OR banana")[5:7] == ("mit", 0.7)
+    assert licenses.scan("SPDX-License-Identifier: Apache-2.0 WITH banana")[5:7] == ("", 0.3)
+    for text in ("licensed under MIT WITH MIT WITH MIT", "Licensed under (MIT OR ISC) WITH MIT"):
+        row = licenses.scan(text)
+        assert "mit" in row[5].split(",") and row[7] == []
+
+
 @pytest.mark.parametrize("text,labels,expressions,acceptable", [
     ("Licensed under CC BY-NC 4.0.", "cc-by-nc,cc-by-nc-4.0", ["CC-BY-NC-4.0"], False),
     ("(Licensed under the CC-BY-4.0)", "cc-by,cc-by-4.0", ["CC-BY-4.0"], True),

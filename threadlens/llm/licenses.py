@@ -8,8 +8,8 @@ against the accepted licences.  Behind 'licensed under' the same parser reads as
 words stop it, so prose is never an invalid expression, and an expression that is not whole gives labels only.  Of
 notice phrases within one another the longest decides the label ('cc by nc' is no 'cc by').
 
-Null and empty texts have no words, no labels and score 0.  An expression that does not parse is kept as
-invalid and lowers the score.  Places are counted once per occurrence; repeated rows are scanned each.
+Null and empty texts have no words, no labels and score 0.  An expression that does not parse is counted as
+invalid and lowers the score, as do identifiers of no known family behind the tag, which are no labels either.  Places are counted once per occurrence; repeated rows are scanned each.
 """
 
 from __future__ import annotations
@@ -64,9 +64,15 @@ class BadExpression(ValueError):
 
 
 def to_postfix(expression: str) -> list[str]:
-    """Shunting-yard: operands and operators of an infix expression in postfix order, in lower case."""
-    out, stack, operand = [], [], False
+    """Shunting-yard: operands and operators of an infix expression in postfix order, in lower case.
+
+    WITH stands between a single identifier and a single exception, never beside a group or another WITH.
+    """
+    out, stack, operand, last = [], [], False, ["", ""]
     for token in regex.findall(r"[()]|[^\s()]+", expression.lower()):
+        before, last = last, [last[1], token]
+        if token == "with" and (before[1] in ("", ")") or before[0] == "with") or token == "(" and before[1] == "with":
+            raise BadExpression(expression)
         if token == "(":
             if operand:
                 raise BadExpression(expression)
@@ -104,9 +110,7 @@ def evaluate(postfix: list[str], accepted: frozenset = ACCEPTED, accepted_with:
             stack.append(token)
             continue
         right, left = stack.pop(), stack.pop()
-        if token == "with":
-            if isinstance(left, bool) or isinstance(right, bool):
-                raise BadExpression(" ".join(postfix))
+        if token == "with":  # two names: the parser lets nothing else through
             stack.append((left, right) in accepted_with or left in accepted)
             continue
         left, right = (x if isinstance(x, bool) else x in accepted for x in (left, right))
@@ -126,6 +130,12 @@ def identifiers(postfix: list[str]) -> list[str]:
     return stack[0]
 
 
+def is_known(name: str) -> bool:
+    """Whether an identifier, with its exception if it has one, is of a known family."""
+    licence, _, exception = name.partition(" with ")
+    return bool(KNOWN.fullmatch(licence)) and (not exception or bool(EXCEPTION.fullmatch(exception)))
+
+
 @lru_cache(maxsize=1)
 def automaton():
     import ahocorasick
@@ -194,16 +204,20 @@ def scan(text: str | None) -> tuple:
             notices.append((end - len(phrase) - 1, end, phrase))
     found.update(NOTICE_PHRASES[p] for p in longest(notices) if p != BARE or BARE_WRITTEN.search(text))
     base = sorted(found & set(BASE_PHRASES.values()))
-    expressions, invalid, verdicts, named = [], 0, [], set()
+    expressions, invalid, unknown, verdicts, named = [], 0, False, [], set()
     for written in TAG_LINE.findall(text) if tagged else []:
         written = regex.sub(r"(?:\*/|-->).*$", "", written).strip()
         try:
             postfix = to_postfix(written)
-            verdicts.append(evaluate(postfix))
-            named.update(identifiers(postfix))
-            expressions.append(written)
         except BadExpression:
             invalid += 1
+            continue
+        names = identifiers(postfix)
+        known = {name for name in names if is_known(name)}
+        unknown |= len(known) < len(set(names))
+        verdicts.append(evaluate(postfix))
+        named.update(known)
+        expressions.append(written)
     for place in UNDER_PLACE.finditer(text) if under else []:
         names, written = read_under(text, place.end())
         if written is None:
@@ -213,7 +227,10 @@ def scan(text: str | None) -> tuple:
         verdicts.append(evaluate(postfix))
         named.update(identifiers(postfix))
         expressions.append(written)
-    score = 0.0 if not (found or named or invalid) else 1.0 if named and not invalid else 0.9 if base else 0.7 if found else 0.3
+    if not (found or named or invalid or unknown):
+        score = 0.0
+    else:
+        score = 1.0 if named and not invalid and not unknown else 0.9 if base else 0.7 if found or named else 0.3
     first = last = None
     if starts:
         first, last = (line.count(" ", 0, s + 1) - 1 for s in (min(starts), max(starts)))
