@@ -8,7 +8,8 @@ read, and of two racing attempts of one batch the smaller name counts: replays c
 
 Null source, language or tokenizer is a key of its own.  Null texts have 0 tokens but are documents.  An empty
 batch commits and adds nothing.  Repeated documents count each.  Keys whose totals return to 0 documents and
-0 tokens are dropped from the totals.  ``compact`` folds all committed deltas into one.
+0 tokens are dropped from the totals.  ``compact`` folds all committed deltas into one; every compaction has a batch id of
+its own (``compacted-...``, which no batch may use) and leaves those of earlier compactions behind.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from threadlens.llm.bpe import read_ranks
 from threadlens.llm.common import slices
 
 KEYS = ["source", "lang", "tokenizer"]
+COMPACTED = "compacted-"
 DELTA = "source string, lang string, tokenizer string, n_docs long, n_tokens long, batch_id string, attempt string"
 COMMIT = "batch_id string, attempt string"
 
@@ -67,6 +69,11 @@ class Rollup:
 
     def apply(self, batch_id: str, changes: DataFrame) -> bool:
         """Add a batch of signed changes; False if it is committed already."""
+        if batch_id.startswith(COMPACTED):
+            raise ValueError(f"batch ids must not begin with {COMPACTED}")
+        return self._apply(batch_id, changes)
+
+    def _apply(self, batch_id: str, changes: DataFrame) -> bool:
         if not self.committed().where(F.col("batch_id") == batch_id).isEmpty():
             return False
         attempt = uuid.uuid4().hex
@@ -82,8 +89,8 @@ class Rollup:
                 .agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0"))
 
     def compact(self, path: str) -> Rollup:
-        """A new rollup below ``path`` with the same totals and commits, in one delta."""
+        """A new rollup below ``path`` with the same totals in one delta, which goes on skipping the batches committed so far."""
         new = Rollup(self.spark, path)
-        new.apply("compacted", self.totals())
-        self.committed().write.mode("append").parquet(new.commits)
+        new._apply(COMPACTED + uuid.uuid4().hex, self.totals())
+        self.committed().where(~F.col("batch_id").startswith(COMPACTED)).write.mode("append").parquet(new.commits)
         return new
