@@ -71,8 +71,10 @@ def op7_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_warc_salvage(spark: SparkSession, sf: str) -> DataFrame:
-    archives = materialize(warc.write_archives(table(spark, sf, "pages")), "archives")
-    records = warc.read_archives(archives, payloads=False).where("kind = 'record'")
+    """Every 20th record was torn and written again, so the archives are read by salvage; gaps and what was left of torn
+    members (length 0) are dropped here."""
+    archives = materialize(warc.write_archives(table(spark, sf, "pages"), torn_every=20), "archives")
+    records = warc.read_archives(archives, payloads=False).where("kind = 'record' and length > 0")
     return records.select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                           F.col("refers_to").cast("long").alias("refers_to"))
 

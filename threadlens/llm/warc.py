@@ -2,7 +2,10 @@
 
 Records are gzip members (or plain records) one after another.  The reader checks version line, lengths, gzip
 checksum and block digest; where a check fails it searches for the next member that opens as a record, or the
-next version line at the start of a line, goes on there, and reports the bytes in between as a gap.
+next version line, goes on there, and reports the bytes in between as a gap.  A member of several records is salvaged
+inside in the same way, also as far as a damaged or cut member can be unpacked: its records and gaps carry their place
+in the unpacked content (``inner_offset``), and records out of a damaged member have length 0, as the gap has its bytes.  Members are unpacked in chunks and every search
+remembers its last hit, so reading takes time linear in the archive.
 
 Archives travel as (archive, content) rows of bounded size, so they can be kept in any store that Spark reads and
 writes; ``read_files`` reads archive files of a folder through Spark's binary reader.
@@ -30,10 +33,11 @@ MEMBER = b"\x1f\x8b\x08"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 URN = "urn:x-record:"
-FIELDS = ["kind", "archive", "offset", "length", "reason", "record_id", "record_type", "target_uri", "refers_to", "payload_bytes", "payload_digest", "payload"]
-SCHEMA = ("kind string, archive string, offset long, length long, reason string, record_id string, record_type string, target_uri string, "
+CHUNK, MOST_HEADERS = 1 << 16, 1 << 20
+FIELDS = ["kind", "archive", "offset", "inner_offset", "length", "reason", "record_id", "record_type", "target_uri", "refers_to", "payload_bytes", "payload_digest", "payload"]
+SCHEMA = ("kind string, archive string, offset long, inner_offset long, length long, reason string, record_id string, record_type string, target_uri string, "
           "refers_to string, payload_bytes long, payload_digest string, payload binary")
-KINDS = [pa.string(), pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.string(), pa.binary()]
+KINDS = [pa.string(), pa.string(), *[pa.int64()] * 3, *[pa.string()] * 5, pa.int64(), pa.string(), pa.binary()]
 
 
 def sha1_base32(data: bytes) -> str:
@@ -63,11 +67,15 @@ class Damaged(ValueError):
     pass
 
 
+def number(written: str) -> bool:
+    return written.isascii() and written.isdigit() and len(written) <= 18
+
+
 def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
     """(fields, end) of the plain record at ``at``; Damaged if a check fails."""
     if data[at:at + 7] != b"WARC/1.":
         raise Damaged("no version line")
-    stop = data.find(b"\r\n\r\n", at)
+    stop = data.find(b"\r\n\r\n", at, at + MOST_HEADERS)
     if stop < 0:
         raise Damaged("headers without an end")
     head: dict[str, str] = {}
@@ -77,11 +85,12 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
             raise Damaged("broken header line")
         head[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
     size = head.get("content-length", "")
-    if not size.isdigit():
+    if not number(size):
         raise Damaged("no content length")
-    block, end = data[stop + 4:stop + 4 + int(size)], stop + 4 + int(size)
-    if len(block) < int(size) or data[end:end + 4] != b"\r\n\r\n":
+    end = stop + 4 + int(size)
+    if data[end:end + 4] != b"\r\n\r\n":
         raise Damaged("record cut short")
+    block = data[stop + 4:end]
     digest = head.get("warc-block-digest", "").removeprefix("sha1:")
     if digest and digest != sha1_base32(block):
         raise Damaged("block digest differs")
@@ -93,7 +102,7 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
             raise Damaged("payload digest differs")
         stated, length = sha1_base32(payload), len(payload)
     else:
-        length = int(head["x-payload-length"]) if head.get("x-payload-length", "").isdigit() else None
+        length = int(head["x-payload-length"]) if number(head.get("x-payload-length", "")) else None
 
     def bare(name: str) -> str | None:
         value = head.get(name)
@@ -103,65 +112,130 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
             "payload_bytes": length, "payload_digest": stated, "payload": None if kind == "revisit" else payload}, end + 4
 
 
-def open_member(data: bytes, at: int) -> tuple[bytes, int]:
-    """(content, end) of the gzip member at ``at``; its checksum is verified."""
-    unpack = zlib.decompressobj(31)
-    try:
-        content = unpack.decompress(memoryview(data)[at:])
-    except zlib.error as error:
-        raise Damaged(f"gzip: {error}") from None
-    if not unpack.eof:
-        raise Damaged("gzip member cut short")
-    return content, len(data) - len(unpack.unused_data)
-
-
-def next_start(data: bytes, at: int) -> int:
-    """Where the next member that opens as a record, or the next version line, begins; the end if nowhere."""
-    member, line = data.find(MEMBER, at), data.find(b"WARC/1.", at)
-    while member >= 0:
+def open_member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """(content, end, what is wrong) of the gzip member at ``at``; a damaged one gives what could be unpacked."""
+    unpack, parts, wrong, place = zlib.decompressobj(31), [], "gzip member cut short", at
+    while place < len(data) and not unpack.eof:
+        chunk, before = data[place:place + CHUNK], unpack.copy()
         try:
-            if zlib.decompressobj(31).decompress(memoryview(data)[member:member + 4096], 7) == b"WARC/1.":
+            parts.append(unpack.decompress(chunk))
+        except zlib.error as error:
+            wrong = f"gzip: {error}"
+            parts.append(unpack_until_error(before, chunk))
+            break
+        place += len(chunk)
+    return b"".join(parts), place - len(unpack.unused_data), "" if unpack.eof else wrong
+
+
+def unpack_until_error(unpack, chunk: bytes) -> bytes:
+    """What a chunk gives before its first error: an error takes with it all that its call unpacked, so the calls get smaller."""
+    parts, at = [], 0
+    for step in (512, 1):
+        while at < len(chunk):
+            before = unpack.copy()
+            try:
+                parts.append(unpack.decompress(chunk[at:at + step]))
+            except zlib.error:
+                unpack = before
                 break
-        except zlib.error:
-            pass
-        member = data.find(MEMBER, member + 1)
-    while line > 0 and data[line - 1:line] != b"\n":
-        line = data.find(b"WARC/1.", line + 1)
-    return min([x for x in (member, line) if x >= 0], default=len(data))
+            at += step
+    return b"".join(parts)
 
 
-def salvage(data: bytes) -> Iterator[dict]:
-    """Records and gaps of one archive, in order of their offsets; together they cover all its bytes."""
-    at, broken, reason = 0, None, ""
+class Starts:
+    """Where records may begin in an archive; asked for places in ascending order."""
+
+    def __init__(self, data: bytes):
+        self.data, self.member, self.line = data, -1, -1
+
+    def next_member(self, at: int) -> int:
+        """The next member that opens as a record; the end if there is none."""
+        while self.member < at:
+            self.member = self.data.find(MEMBER, max(at, self.member + 1))
+            if self.member < 0:
+                self.member = len(self.data)
+                break
+            try:
+                if zlib.decompressobj(31).decompress(self.data[self.member:self.member + 4096], 7) == b"WARC/1.":
+                    break
+            except zlib.error:
+                pass
+            at = max(at, self.member + 1)
+        return self.member
+
+    def next_line(self, at: int) -> int:
+        """The next version line, also behind a torn line; the end if there is none."""
+        if self.line < at:
+            self.line = self.data.find(b"WARC/1.", at)
+            self.line = len(self.data) if self.line < 0 else self.line
+        return self.line
+
+    def after(self, at: int) -> int:
+        return min(self.next_member(at), self.next_line(at))
+
+
+def salvage_plain(data: bytes) -> Iterator[dict]:
+    """Records and gaps of unpacked content, in order; together they cover all its bytes."""
+    starts, at, broken, reason = Starts(data), 0, None, ""
     while at < len(data):
         try:
-            if data[at:at + 3] == MEMBER:
-                content, end = open_member(data, at)
-                found, inner = [], 0
-                while inner < len(content):
-                    fields, inner = parse_record(content, inner)
-                    found.append(fields)
-            else:
-                fields, end = parse_record(data, at)
-                found = [fields]
+            fields, end = parse_record(data, at)
         except Damaged as error:
             if broken is None:
                 broken, reason = at, str(error)
-            at = next_start(data, at + 1)
+            at = starts.next_line(at + 1)
             continue
         if broken is not None:
             yield {"kind": "gap", "offset": broken, "length": at - broken, "reason": reason}
             broken = None
-        for fields in found:
-            yield {"kind": "record", "offset": at, "length": end - at, **fields}
+        yield {"kind": "record", "offset": at, "length": end - at, **fields}
         at = end
     if broken is not None:
         yield {"kind": "gap", "offset": broken, "length": len(data) - broken, "reason": reason}
 
 
+def salvage(data: bytes) -> Iterator[dict]:
+    """Records and gaps of one archive, in order of their offsets; intact members, plain records and gaps without an inner offset
+    cover all its bytes.  Records out of a damaged member lie inside the gap that begins with it."""
+    starts, at, broken, reason = Starts(data), 0, None, ""
+    while at < len(data):
+        inside: list[dict] = []
+        if data[at:at + 3] == MEMBER:
+            content, end, wrong = open_member(data, at)
+            inside = list(salvage_plain(content))
+            records = [x for x in inside if x["kind"] == "record"]
+            if not wrong and not records and content:
+                wrong = inside[0]["reason"]
+        else:
+            try:
+                fields, end = parse_record(data, at)
+                inside, wrong = [{"kind": "record", "offset": 0, "length": end - at, **fields}], ""
+            except Damaged as error:
+                wrong = str(error)
+        whole = not wrong
+        if broken is not None and whole:
+            yield {"kind": "gap", "offset": broken, "length": at - broken, "reason": reason}
+            broken = None
+        if wrong and broken is None:
+            broken, reason = at, wrong
+        several = len(inside) > 1
+        for x in inside:
+            if x["kind"] == "record":
+                yield {**x, "offset": at, "length": end - at if whole else 0, "inner_offset": x["offset"] if several or not whole else None}
+            elif whole:  # a gap inside an intact member
+                yield {**x, "offset": at, "inner_offset": x["offset"]}
+        at = end if whole else starts.after(at + 1)
+    if broken is not None:
+        yield {"kind": "gap", "offset": broken, "length": len(data) - broken, "reason": reason}
+
+
 def write_archives(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
-                   archive_bytes: int = ARCHIVE_BYTES, gzip: bool = True) -> DataFrame:
-    """(archive, content): every row of ``pages`` as a record, equal payloads stored once."""
+                   archive_bytes: int = ARCHIVE_BYTES, gzip: bool = True, torn_every: int = 0) -> DataFrame:
+    """(archive, content): every row of ``pages`` as a record, equal payloads stored once.
+
+    With ``torn_every`` n, every n-th record of a task is preceded by half of itself, as a writer leaves it that was
+    interrupted and wrote the record again.
+    """
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                         F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload")).withColumn("key", F.sha1(F.col("payload").cast("binary")))
     latest = rows.groupBy("key").agg(F.max("id").alias("latest"))
@@ -172,13 +246,18 @@ def write_archives(pages: DataFrame, *, id_col: str = "page_id", url_col: str =
         def archive(members: list[bytes]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), pa.array([b"".join(members)], pa.binary())], names=["archive", "content"])
 
-        members, size = [], 0
+        members, size, written = [], 0, 0
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 for record_id, url, payload, refers in zip(*(c.slice(at, 64).to_pylist() for c in batch.columns)):
                     data = record(record_id, url, payload.encode(), refers)
-                    members.append(compress(data) if gzip else data)
-                    size += len(members[-1])
+                    data = compress(data) if gzip else data
+                    if torn_every and written % torn_every == 0:
+                        members.append(data[:len(data) // 2])
+                        size += len(members[-1])
+                    members.append(data)
+                    size += len(data)
+                    written += 1
                     if size >= archive_bytes:
                         yield archive(members)
                         members, size = [], 0
