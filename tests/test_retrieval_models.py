@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from threadlens.operators import features, models, retrieval
+from threadlens.operators import features, models, retrieval, vector_index
 from threadlens.operators.scoring import score_messages
 from threadlens.sources.scratch import materialize, shared_folder
 from threadlens.sources.sinks import write_evidence_store
@@ -37,6 +37,77 @@ def test_topk_matches_brute_force(spark, vectors, plan, tile):
     assert all(-1 <= r.similarity <= 1 for r in got)
 
 
+def clustered(n, clusters, dim=16, seed=5):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(clusters, dim))
+    m = centres[rng.integers(clusters, size=n)] + rng.normal(scale=0.05, size=(n, dim))
+    m[n // 2:n // 2 + n // 3] = m[0]  # a third of the store are copies of one vector
+    return m
+
+
+def exact(m, q, k):
+    f = m / np.linalg.norm(m, axis=1, keepdims=True)
+    x = q / np.linalg.norm(q, axis=1, keepdims=True)
+    out = set()
+    for i, row in enumerate(np.round((x @ f.T), 12)):
+        out |= {(f"q{i:03d}", r, f"s{j:03d}") for r, j in enumerate(sorted(range(len(m)), key=lambda j: (-row[j], f"s{j:03d}"))[:k], 1)}
+    return out
+
+
+@pytest.mark.parametrize("in_place", [True, False, None])
+def test_tiles_are_exact_and_few_are_visited(spark, in_place):
+    m = clustered(900, 12)
+    q = np.concatenate([m[::60], clustered(20, 12, seed=6)])
+    index = vector_index.build_tile_index(frame(spark, m).repartition(5), shared_folder(spark, "index"), store_id="id", tile_rows=40)
+    got = vector_index.search_tiles(frame(spark, q, "q"), index, 5, query_id="id", in_place=in_place)
+    assert {tuple(r)[:3] for r in got.collect()} == exact(m, q, 5)
+    assert index.tiles.sizes.sum() == 900 - 900 // 3  # copies and their original are one row
+    visits = vector_index.count_visits(frame(spark, m[::60], "q"), index, 5)
+    assert visits.agg(F.avg("tiles")).first()[0] < len(index.tiles.centres) / 3
+
+
+def test_tile_parts_and_cells_of_many_queries(spark, monkeypatch):
+    monkeypatch.setattr(vector_index, "QUERY_ROWS", 7)
+    m = clustered(300, 3)
+    index = vector_index.build_tile_index(frame(spark, m), store_id="id", tile_rows=25, max_tiles=2, keep=6, columns=["embedding"])
+    assert index.tiles.parts.max() > 1
+    got = vector_index.search_tiles(frame(spark, m, "q"), index, 6, query_id="id", in_place=False, extra=["embedding"])
+    assert {tuple(r)[:3] for r in got.collect()} == exact(m, m, 6)
+    with pytest.raises(ValueError):
+        vector_index.search_tiles(frame(spark, m, "q"), index, 7, query_id="id")
+
+
+def test_index_of_nothing_and_of_zero_vectors(spark):
+    none = frame(spark, np.ones((1, 4))).where("false")
+    some = frame(spark, np.array([[0.0] * 4, [1.0, 0, 0, 0], [0.0] * 4]), "q")
+    index = vector_index.build_tile_index(none, store_id="id")
+    for in_place in (True, False):
+        assert vector_index.search_tiles(some, index, 5, query_id="id", in_place=in_place).count() == 0
+    index = vector_index.build_tile_index(some.withColumn("id", F.concat(F.lit("s"), F.substring("id", 2, 3))), store_id="id")
+    got = vector_index.search_tiles(some.unionByName(some.select(F.lit("q9").alias("id"), F.lit(None).cast("array<double>").alias("embedding"))), index, 2, query_id="id").collect()
+    assert {(r[0], r[1], r[2]) for r in got} == {("q000", 1, "s000"), ("q000", 2, "s001"), ("q001", 1, "s001"), ("q001", 2, "s000"), ("q002", 1, "s000"), ("q002", 2, "s001")}
+    assert vector_index.ann_topk(some, none, query_id="id", store_id="id").count() == 0
+    assert vector_index.ann_topk(none, some, query_id="id", store_id="id").count() == 0
+
+
+def test_hashing_finds_nine_of_ten(spark):
+    """Recall of the approximate search on the whole table, against the exact one; the figure stands in the README."""
+    e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    near = {(r.query_id, r.store_id) for r in vector_index.ann_topk(e, e, query_id="vec_id", store_id="vec_id").collect()}
+    want = {(r.query_id, r.store_id) for r in retrieval.topk_similar(e, e, query_id="vec_id", store_id="vec_id").collect()}
+    assert len(near & want) / len(want) >= 0.95
+
+
+def test_queries_with_few_candidates_get_the_exact_answer(spark):
+    m = clustered(60, 4)
+    q = np.concatenate([m[:10], -m[:10]])
+    got = vector_index.ann_topk(frame(spark, q, "q"), frame(spark, m), 5, query_id="id", store_id="id", tables=1, bits=12, probes=0)
+    far = {t for t in exact(m, q, 5) if int(t[0][1:]) >= 10}  # nothing lies in the buckets of opposite vectors
+    assert far <= {tuple(r)[:3] for r in got.collect()}
+    full = vector_index.ann_topk(frame(spark, q, "q"), frame(spark, m), 5, query_id="id", store_id="id", tables=2, bits=1, probes=1, cell_rows=10)
+    assert {tuple(r)[:3] for r in full.collect()} == exact(m, q, 5)
+
+
 def test_k_bound_blank_and_empty(spark, vectors):
     q = frame(spark, vectors[:3], "q").withColumn("text", F.when(F.col("id") == "q001", "  ").otherwise("hi"))
     top = retrieval.topk_similar(q, frame(spark, vectors[:4]), 10, query_id="id", store_id="id", query_text="text")

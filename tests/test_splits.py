@@ -1,5 +1,7 @@
 import hashlib
 
+import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from threadlens.operators import splits
@@ -35,10 +37,46 @@ def test_sample_matches_full_sort(spark):
 
 def test_cut_of_empty_table(spark):
     empty = spark.createDataFrame([], "tweet_id string")
-    assert cut_keys(empty, "tweet_id", {"last": lambda n: F.lit(3)}).first()["last"] is None
+    assert cut_keys(empty, "tweet_id", {"last": lambda n: 3}) == {"last": None}
     assert hash_sample(empty, 3, "tweet_id").count() == 0
 
 
+def test_cuts_refine_until_few_keys_are_left(spark):
+    """A million keys: no task ranks more than a few thousand, whatever the first bucket holds."""
+    keys = spark.range(1_000_000).select(F.col("id").cast("string").alias("k"))
+    ranked = order(str(k) for k in range(1_000_000))
+    places = {"a": 1, "b": 700_000, "c": 999_999, "d": 2_000_000}
+    for width, most in ((1, 500), (3, 4096)):
+        sizes = []
+        cuts = cut_keys(keys, "k", {n: (lambda total, p=p: p) for n, p in places.items()}, width=width, most=most, sizes=sizes)
+        assert {n: k for n, (_, k) in cuts.items()} == {n: ranked[min(p, 1_000_000) - 1] for n, p in places.items()}
+        assert max(sizes) <= most
+
+
+def test_dropped_rows_are_counted_by_the_job(spark):
+    rows = spark.createDataFrame([("hello there",), ("hi",), ("",), (None,)], "clean_text string")
+    counts = Observation()
+    assert splits.drop_empty(rows, 5, counts).count() == 1
+    assert counts.get == {"kept": 1, "dropped": 3}
+    again = Observation("labelled")
+    assert splits.label_messages(rows.withColumnRenamed("clean_text", "text"), 1, again).count() == 2
+    assert again.get == {"kept": 2, "dropped": 2}
+
+
+def test_leaks_are_named_and_end_the_build(spark):
+    rows = spark.createDataFrame([("a", "train", "same text"), ("b", "train", "x"), ("c", "validation", "same text"), ("d", "test", "y"), ("b", "test", "x"), (None, "test", None)],
+                                 "conversation_id string, split string, clean_text string")
+    pairs = spark.createDataFrame([("a", 1), ("d", 2)], "conversation_id string, n int")
+    gold = spark.createDataFrame([("a",), ("",)], "conversation_id string")
+    assert {tuple(r) for r in splits.leaked_conversations(pairs, rows, gold).collect()} == {
+        ("train_test_overlap", "b"), ("indexed_test_overlap", "d"), ("indexed_golden_overlap", "a")}
+    assert {tuple(r)[1:] for r in splits.shared_texts(rows).collect()} == {(1, 1, 0, 2), (1, 0, 1, 1)}
+    with pytest.raises(Exception, match="leakage: "):
+        splits.leakage_audit(pairs, pairs, rows, gold, fail=True).collect()
+    clean = rows.where("conversation_id in ('a', 'c')")
+    assert splits.leakage_audit(pairs, pairs.where("n = 1"), clean, fail=True).count() == 7
+
+
 def test_evidence_and_audit(spark):
     rows = spark.createDataFrame([("a", "train"), ("b", "train"), ("c", "validation"), ("d", "test")], "conversation_id string, split string")
     pairs = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), ("d", 5), ("z", 6)], "conversation_id string, n int")

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -75,38 +74,38 @@ def model_comparison(preds: DataFrame, model: str = "model") -> DataFrame:
         .select(model, "accuracy", "macro_f1", "weighted_f1", "macro_precision", "macro_recall")
 
 
-def bootstrap_ci(cells: DataFrame, n_iter: int = BOOTSTRAP_ITERATIONS, seed: int = SEED) -> DataFrame:
-    """2.5/97.5 percentiles of accuracy and macro F1 over row resamples.
+def poisson_draw(n: Column, digest: Column) -> Column:
+    """A Poisson(n) number that follows from a hexadecimal md5 digest.
 
-    Resampling n rows with replacement is a Multinomial(n, cell/n) draw over the
-    confusion cells, so an iteration costs labels**2, not n.  The cells reach the
-    workers as one array value; iterations are spread over partitions and seeded by
-    (seed, iteration), so a re-run task repeats its numbers.
+    Two uniform numbers of 32 bits give a normal one (Box-Muller), and the Cornish-Fisher expansion turns that into the Poisson
+    quantile.  Its mean and variance are within 1 % of n from n = 5 on, and within 4 % for smaller n.
     """
-    spark = cells.sparkSession
-    packed = cells.agg(F.array_sort(F.collect_list(F.struct("y_true", "y_pred", "n"))).alias("cells"))
-    runs = spark.range(n_iter).withColumn("cells", packed.scalar())
-
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for it, cell_list in zip(batch["id"], batch["cells"]):
-                names = sorted({c["y_true"] for c in cell_list} | {c["y_pred"] for c in cell_list})
-                pos = {name: i for i, name in enumerate(names)}
-                t = np.array([pos[c["y_true"]] for c in cell_list])
-                p = np.array([pos[c["y_pred"]] for c in cell_list])
-                n = np.array([c["n"] for c in cell_list], dtype=np.int64)
-                total = int(n.sum())
-                got = np.random.default_rng([seed, int(it)]).multinomial(total, n / total)
-                size = len(names)
-                tp = np.bincount(t[t == p], weights=got[t == p], minlength=size)
-                den = np.bincount(t, weights=got, minlength=size) + np.bincount(p, weights=got, minlength=size)
-                f1 = np.divide(2 * tp, den, out=np.zeros(size), where=den != 0)
-                out.append((tp.sum() / total, f1.mean()))
-            yield pd.DataFrame(out, columns=["accuracy", "macro_f1"])
+    u, v = ((F.conv(F.substring(digest, k, 8), 16, 10).cast("double") + 0.5) / float(1 << 32) for k in (1, 9))
+    z = F.sqrt(-2.0 * F.log(u)) * F.cos(2.0 * math.pi * v)
+    x = n + F.sqrt(n) * z + (z * z - 1.0) / 6.0 + (z - z * z * z) / (72.0 * F.sqrt(n))
+    return F.greatest(F.lit(0).cast("long"), F.floor(x + 0.5).cast("long"))
+
 
+def bootstrap_scores(cells: DataFrame, n_iter: int = BOOTSTRAP_ITERATIONS, seed: int = SEED) -> DataFrame:
+    """(it, accuracy, macro_f1) of ``n_iter`` resamples of the rows behind the cells.
+
+    Poisson bootstrap: a row is drawn Poisson(1) times, so a cell of n rows Poisson(n) times, independently of other
+    cells.  The draw follows from md5(seed, iteration, cell), so every engine and every re-run repeats it, and an
+    iteration costs one row a cell, not one a message.  The label set is that of all cells.
+    """
+    name = F.concat_ws("|", F.coalesce("y_true", F.lit("")), F.coalesce("y_pred", F.lit("")))
+    runs = cells.withColumn("it", F.explode(F.sequence(F.lit(0), F.lit(n_iter - 1))))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("it").cast("string"), name).cast("binary"))
+    drawn = runs.withColumn("n", poisson_draw(F.col("n").cast("double"), digest))
+    total = drawn.groupBy("it").agg((F.sum(F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(0)) / F.nullif(F.sum("n"), F.lit(0))).alias("accuracy"))
+    f1 = label_scores(drawn, ["it"]).groupBy("it").agg(F.avg("f1").alias("macro_f1"))
+    return total.join(f1, "it")
+
+
+def bootstrap_ci(cells: DataFrame, n_iter: int = BOOTSTRAP_ITERATIONS, seed: int = SEED) -> DataFrame:
+    """2.5/97.5 percentiles of accuracy and macro F1 over row resamples; the driver sees one row."""
     ends = F.array(F.lit(0.025), F.lit(0.975))
-    return runs.mapInPandas(draw, "accuracy double, macro_f1 double").agg(
+    return bootstrap_scores(cells, n_iter, seed).agg(
         F.percentile("accuracy", ends).alias("a"), F.percentile("macro_f1", ends).alias("f")).select(
         *[half_even(F.col(c)[i], 4).alias(f"{name}_{end}")
           for c, name in (("a", "accuracy"), ("f", "macro_f1")) for i, end in ((0, "low"), (1, "high"))])

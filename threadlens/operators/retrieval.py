@@ -4,17 +4,16 @@ Two plans, same result:
 
 * ``broadcast``: a bounded block of queries is shipped to the store partitions.  The
   store is scanned in place, each partition keeps k candidates per query.
-* ``tiled``: when queries do not fit the bound, both sides are cut into tiles of
-  bounded size by key hash and every (query tile, store tile) cell is one task that
-  emits k candidates per query.
+* ``tiled``: when queries do not fit the bound, the store is clustered into tiles
+  (``vector_index``).  A query visits the tiles whose bound reaches its k-th score;
+  queries and the visited part of a tile meet in cells of bounded size.
 
-Both only ever shuffle k candidates per query and partition/tile; nothing is pruned
-approximately.
+Both only ever shuffle k candidates per query and partition or cell; nothing is pruned
+approximately.  ``vector_index.ann_topk`` is the approximate alternative.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +26,11 @@ from pyspark.sql.window import Window
 
 from threadlens.functions.numeric import half_even
 from threadlens.functions.text import is_blank
+from threadlens.operators.vector_index import TILE_ROWS, build_tile_index, search_tiles
 from threadlens.plans.skew import HOT_ROWS, skew_lookup
 from threadlens.schema import TOP_K
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-TILE_ROWS = 16_384
 QUERY_BLOCK = 256
 TIE_DIGITS = 12  # scores closer than this tie and fall back to the id
 
@@ -126,7 +125,8 @@ def topk_similar(queries: DataFrame, store: DataFrame, k: int = TOP_K, *, query_
         plan = "broadcast" if q.limit(limit + 1).count() <= limit else "tiled"
     if plan == "broadcast":
         return _final(_broadcast_candidates(q, s, k, schema), k)
-    return _final(_tiled_candidates(q, s, k, schema, query_id, store_id, tile_rows), k)
+    index = build_tile_index(store.select(store_id, vector), store_id=store_id, vector=vector, keep=k, tile_rows=tile_rows)
+    return search_tiles(q, index, k, query_id=query_id, vector="v", in_place=False)
 
 
 def _broadcast_candidates(q: DataFrame, s: DataFrame, k: int, schema: T.StructType) -> DataFrame:
@@ -150,30 +150,6 @@ def _broadcast_candidates(q: DataFrame, s: DataFrame, k: int, schema: T.StructTy
     return s.mapInArrow(scan, schema)
 
 
-def _tiled_candidates(q: DataFrame, s: DataFrame, k: int, schema: T.StructType, query_id: str, store_id: str,
-                      tile_rows: int) -> DataFrame:
-    q_tiles = max(1, math.ceil(q.count() / tile_rows))
-    s_tiles = max(1, math.ceil(s.count() / tile_rows))
-
-    def tile(col, n):
-        return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
-
-    left = q.withColumn("qt", tile(query_id, q_tiles)).withColumn(
-        "st", F.explode(F.sequence(F.lit(0), F.lit(s_tiles - 1))))
-    right = s.withColumn("st", tile(store_id, s_tiles)).withColumn(
-        "qt", F.explode(F.sequence(F.lit(0), F.lit(q_tiles - 1))))
-    arrow = to_arrow_schema(schema)
-
-    def cell(lq: pa.Table, ls: pa.Table) -> pa.Table:
-        if not lq.num_rows or not ls.num_rows:
-            return arrow.empty_table()
-        qids = _ids(lq.column(query_id))
-        parts = _match(_matrix(lq.column("v")), _ids(ls.column(store_id)), _matrix(ls.column("v")), k)
-        return pa.Table.from_batches([_table(qids[r], i, v, arrow) for r, i, v in parts], schema=arrow)
-
-    return left.groupBy("qt", "st").cogroup(right.groupBy("qt", "st")).applyInArrow(cell, schema)
-
-
 def attach_evidence(topk: DataFrame, store: DataFrame, *, store_id: str,
                     hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """(query_id, evidence, n_evidence, evidence_score): the ranked examples per query.

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from threadlens.functions.text import clean_text, label_intent
@@ -11,21 +13,21 @@ from threadlens.plans.skew import HOT_ROWS, skew_lookup
 from threadlens.schema import MIN_CLEAN_LENGTH, SEED, TRAIN_RATIO, VAL_RATIO
 
 
-def drop_empty(messages: DataFrame, min_length: int = 0, observe_as: str | None = None) -> DataFrame:
+def drop_empty(messages: DataFrame, min_length: int = 0, counts: Observation | None = None) -> DataFrame:
     """Keep rows whose clean_text is longer than ``min_length``.
 
-    ``observe_as`` names an observation with kept/dropped counts, gathered while the
-    job runs rather than by a second pass.
+    ``counts`` is an observation of the caller's own: once a job over the result has run, its ``get`` holds how many
+    rows were ``kept`` and ``dropped``, gathered by that job rather than by a second pass.  Nulls are dropped.
     """
-    keep = F.length("clean_text") > min_length
-    if observe_as:
-        messages = messages.observe(observe_as, F.count_if(keep).alias("kept"), F.count_if(~keep).alias("dropped"))
+    keep = F.coalesce(F.length("clean_text") > min_length, F.lit(False))
+    if counts is not None:
+        messages = messages.observe(counts, F.count_if(keep).alias("kept"), F.count_if(~keep).alias("dropped"))
     return messages.where(keep)
 
 
-def label_messages(messages: DataFrame, min_length: int = MIN_CLEAN_LENGTH) -> DataFrame:
-    """Clean, drop short texts, attach the rule intent."""
-    cleaned = drop_empty(messages.withColumn("clean_text", clean_text(F.col("text"))), min_length)
+def label_messages(messages: DataFrame, min_length: int = MIN_CLEAN_LENGTH, counts: Observation | None = None) -> DataFrame:
+    """Clean, drop short texts (counted in ``counts``), attach the rule intent."""
+    cleaned = drop_empty(messages.withColumn("clean_text", clean_text(F.col("text"))), min_length, counts)
     return cleaned.withColumn("intent", label_intent(F.col("clean_text")))
 
 
@@ -43,13 +45,12 @@ def conversation_split(labelled: DataFrame, *, train: float = TRAIN_RATIO, val:
     """
     known = labelled.where(F.col(key).isNotNull())
     cuts = cut_keys(known.select(key).distinct(), key, {
-        "train": lambda n: F.floor(n * F.lit(float(train))),
-        "val": lambda n: F.floor(n * F.lit(float(train))) + F.floor(n * F.lit(float(val))),
+        "train": lambda n: math.floor(n * train),
+        "val": lambda n: math.floor(n * train) + math.floor(n * val),
     }, seed=seed, width=width)
-    marked = known.withColumn("__cut", cuts.select(F.struct("train", "val")).scalar())
-    return marked.withColumn("split", F.when(at_or_before(F.col(key), F.col("__cut.train"), seed), "train")
-                             .when(at_or_before(F.col(key), F.col("__cut.val"), seed), "validation")
-                             .otherwise("test")).drop("__cut")
+    return known.withColumn("split", F.when(at_or_before(F.col(key), cuts["train"], seed), "train")
+                            .when(at_or_before(F.col(key), cuts["val"], seed), "validation")
+                            .otherwise("test"))
 
 
 def prepare_splits(inbound: DataFrame, sample_n: int | None = 20000, *, seed: int = SEED) -> DataFrame:
@@ -85,30 +86,54 @@ def evidence_candidates(pairs: DataFrame, splits: DataFrame, golden: DataFrame |
                        "conversation_id", "__c", spread=key, how="inner", hot_rows=hot_rows).drop("__in")
 
 
-def leakage_audit(pairs: DataFrame, indexed: DataFrame, splits: DataFrame,
-                  golden: DataFrame | None = None) -> DataFrame:
-    """(check_name, n, must_be_zero, passed) rows of the leakage checks.
+SOURCES = ["train", "validation", "test", "golden", "pair", "indexed"]
+OVERLAPS = {"train_test_overlap": ("train", "test"), "validation_test_overlap": ("validation", "test"),
+            "indexed_test_overlap": ("indexed", "test"), "indexed_golden_overlap": ("indexed", "golden")}
 
-    Every id source is tagged and collapsed to one row per conversation with flags;
-    all overlaps are then counts over that one aggregate.
-    """
+
+def conversation_flags(splits: DataFrame, golden: DataFrame | None, pairs: DataFrame | None, indexed: DataFrame | None) -> DataFrame:
+    """(c, rows in each of SOURCES): every id source is tagged and collapsed to one row per conversation."""
     def tag(df, name):
         return df.select(F.col("conversation_id").cast("string").alias("c"), F.lit(name).alias("tag"))
 
-    tagged = splits.select(F.col("conversation_id").cast("string").alias("c"), F.col("split").alias("tag")) \
-        .union(tag(pairs, "pair")).union(tag(indexed, "indexed"))
+    tagged = splits.select(F.col("conversation_id").cast("string").alias("c"), F.col("split").alias("tag"))
+    for df, name in ((pairs, "pair"), (indexed, "indexed")):
+        tagged = tagged if df is None else tagged.union(tag(df, name))
     if golden is not None:
         tagged = tagged.union(tag(golden.where(F.col("conversation_id") != ""), "golden"))
-    names = ["train", "validation", "test", "golden", "pair", "indexed"]
-    flags = tagged.where(F.col("c").isNotNull()).groupBy("c").agg(
-        *[F.count_if(F.col("tag") == t).alias(t) for t in names])
-    has = {t: F.col(t) > 0 for t in names}
+    return tagged.where(F.col("c").isNotNull()).groupBy("c").agg(*[F.count_if(F.col("tag") == t).alias(t) for t in SOURCES])
+
+
+def leaked_conversations(indexed: DataFrame | None, splits: DataFrame, golden: DataFrame | None = None) -> DataFrame:
+    """(check_name, conversation_id): every conversation that one of the overlap checks finds."""
+    flags = conversation_flags(splits, golden, None, indexed)
+    hits = F.array(*[F.when((F.col(a) > 0) & (F.col(b) > 0), F.lit(name)) for name, (a, b) in OVERLAPS.items()])
+    return flags.select(F.explode(F.array_compact(hits)).alias("check_name"), F.col("c").alias("conversation_id"))
+
+
+def shared_texts(splits: DataFrame, text: str = "clean_text") -> DataFrame:
+    """(text_md5, train, validation, test, conversations): texts that stand in more than one split, with their rows in each.
+
+    Equal texts of different conversations may be independent messages, so they are reported, never failed.
+    """
+    names = ["train", "validation", "test"]
+    groups = splits.where(F.col(text).isNotNull()).groupBy(F.md5(F.col(text).cast("binary")).alias("text_md5")).agg(
+        *[F.count_if(F.col("split") == n).alias(n) for n in names], F.count_distinct("conversation_id").alias("conversations"))
+    return groups.where(sum(F.when(F.col(n) > 0, 1).otherwise(0) for n in names) > 1)
+
+
+def leakage_audit(pairs: DataFrame, indexed: DataFrame, splits: DataFrame,
+                  golden: DataFrame | None = None, *, fail: bool = False) -> DataFrame:
+    """(check_name, n, must_be_zero, passed) rows of the leakage checks.
+
+    All overlaps are counts over one row per conversation.  With ``fail`` the job that reads the
+    result ends with an error that names the first failed check.
+    """
+    flags = conversation_flags(splits, golden, pairs, indexed)
+    has = {t: F.col(t) > 0 for t in SOURCES}
     excluded = has["test"] | has["validation"] | has["golden"]
     counts = flags.agg(
-        F.count_if(has["train"] & has["test"]).alias("train_test_overlap"),
-        F.count_if(has["validation"] & has["test"]).alias("validation_test_overlap"),
-        F.count_if(has["indexed"] & has["test"]).alias("indexed_test_overlap"),
-        F.count_if(has["indexed"] & has["golden"]).alias("indexed_golden_overlap"),
+        *[F.count_if(has[a] & has[b]).alias(name) for name, (a, b) in OVERLAPS.items()],
         F.coalesce(F.sum(F.when(has["train"], F.col("pair"))), F.lit(0)).alias("pairs_in_train"),
         F.coalesce(F.sum(F.when(excluded, F.col("pair"))), F.lit(0)).alias("pairs_excluded"),
         F.coalesce(F.sum("indexed"), F.lit(0)).alias("pairs_indexed"),
@@ -116,8 +141,10 @@ def leakage_audit(pairs: DataFrame, indexed: DataFrame, splits: DataFrame,
     zero = [c for c in counts.columns if c.endswith("overlap")]
     entries = F.array(*[F.struct(F.lit(c).alias("check_name"), F.col(c).alias("n"),
                                  F.lit(c in zero).alias("must_be_zero")) for c in counts.columns])
-    return counts.select(F.inline(entries)).withColumn(
-        "passed", ~F.col("must_be_zero") | (F.col("n") == 0))
+    passed = ~F.col("must_be_zero") | (F.col("n") == 0)
+    if fail:
+        passed = F.when(passed, True).otherwise(F.raise_error(F.concat(F.lit("leakage: "), "check_name", F.lit(" = "), F.col("n").cast("string"))).cast("boolean"))
+    return counts.select(F.inline(entries)).withColumn("passed", passed)
 
 
 def reproducible_sample(df: DataFrame, n: int, key: str = "tweet_id", *, seed: int = SEED,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadlens.sources.messages import by_name, file_order
+from threadlens.sources.messages import by_name, with_file_order
 
 ANNOTATION_COLUMNS = ["id", "tweet_id", "conversation_id", "text", "auto_intent", "gold_intent", "should_escalate",
                       "gold_reply_quality", "double_label", "notes"]
@@ -30,4 +30,4 @@ def read_annotations(spark: SparkSession, path: str, columns: list[str] | None =
         df = by_name(raw, wanted).na.fill("", wanted)
     else:
         raise ValueError("Annotation file must be JSON or CSV.")
-    return df.withColumn("row_no", file_order(raw) + 1).drop("_metadata")
+    return with_file_order(raw, df).withColumn("row_no", F.col("ingest_seq") + 1).drop("_metadata", "ingest_seq")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.functions.text import strip
@@ -14,15 +14,18 @@ from threadlens.schema import ID_COLUMNS, RAW_MESSAGE_SCHEMA
 NATIVE_DATE = "MMM dd HH:mm:ss Z yyyy"
 
 
-def file_order(raw: DataFrame) -> Column:
-    """A long that grows along each file, and from file to file in order of their paths.
+def with_file_order(raw: DataFrame, named: DataFrame) -> DataFrame:
+    """``named`` (with ``_metadata``) plus ``ingest_seq``, a long that grows along each file, and from file to file by path.
 
-    Every file is read by one task; tasks may hold several files in any order.
+    Every file is read by one task; tasks may hold several files in any order.  Files are numbered in a small table
+    that is joined by path; Spark broadcasts it below its own size limit and shuffles beyond.
     """
     paths = sorted({re.sub("^file:/+", "file:/", f) for f in raw.inputFiles()})  # the two forms of a local path
-    files = raw.sparkSession.createDataFrame([(f, k) for k, f in enumerate(paths)], "f string, k long")
-    number = files.agg(F.map_from_entries(F.collect_list(F.struct("f", "k")))).scalar()  # one entry per file
-    return F.shiftleft(F.element_at(number, F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")), 33) + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    files = raw.sparkSession.createDataFrame([(f, k) for k, f in enumerate(paths)], "__file string, __number long")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    marked = named.withColumn("__row", row).withColumn("__path", F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/"))
+    return marked.join(files, F.col("__path") == F.col("__file")) \
+        .withColumn("ingest_seq", F.shiftleft("__number", 33) + F.col("__row")).drop("__row", "__path", "__file", "__number")
 
 
 def by_name(raw: DataFrame, wanted: list[str]) -> DataFrame:
@@ -41,7 +44,7 @@ def read_messages_csv(spark: SparkSession, path: str) -> DataFrame:
     """
     raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     named = by_name(raw, RAW_MESSAGE_SCHEMA.fieldNames())
-    return named.withColumn("ingest_seq", file_order(raw)).drop("_metadata")
+    return with_file_order(raw, named).drop("_metadata")
 
 
 def normalize_messages(raw: DataFrame, timestamp_format: str | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from threadlens.functions.prompts import GENERIC_REPLY, JUDGE_DIMENSIONS, REPLY_TEMPLATES, SYSTEM_RULES
 from threadlens.functions.text import INTENT_RULES, INTENTS
+from threadlens.operators import vector_index as vi
 from workload import fixtures as fx
 
 S = r"\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}"
@@ -118,14 +119,36 @@ CTE: dict[str, tuple[str, list[str]]] = {
              "(partition by query_id order by score desc, store_id) as rank from sims) where rank<=5", ["sims"]),
     "cases": ("select d.doc_id as vec_id, text as customer_text, source as brand_text, lang as conversation_id, v, nv from documents d "
               "join emb e on e.vec_id=d.doc_id%(select count(*) from embeddings)", ["emb"]),
+    # documents share the few vectors, so vectors are matched first; a vector stands for its documents, smallest id first
+    "vectop": ("select query_id, store_id, score from (select *, row_number() over (partition by query_id order by score desc, store_id) as rn "
+               "from sims where store_id in (select e from casevec) and query_id in (select e from casevec)) where rn<=6", ["sims", "casevec"]),
+    "casevec": ("select doc_id as id, doc_id%(select count(*) from embeddings) as e from documents", []),
     "casetop": (f"select query_id, rank, store_id, {re_('score', 4)} as similarity from (select *, row_number() over "
-                "(partition by query_id order by score desc, store_id) as rank from (select q.vec_id as query_id, s.vec_id as store_id, "
-                "round(list_inner_product(q.v,s.v)/(q.nv*s.nv), 12) as score from cases q, cases s where q.vec_id<>s.vec_id)) where rank<=5", ["cases"]),
+                "(partition by query_id order by score desc, store_id) as rank from (select q.id as query_id, s.id as store_id, t.score "
+                "from casevec q join vectop t on t.query_id=q.e join casevec s on s.e=t.store_id where q.id<>s.id)) where rank<=5", ["vectop", "casevec"]),
     "matched": ("select c.vec_id, c.customer_text as message, c.conversation_id, m.* from cases c join (select query_id, "
                 f"list(struct_pack(c:=s.customer_text, b:=s.brand_text) order by rank) as ev, {re_('avg(similarity)', 4)} as evidence_score "
                 "from casetop join cases s on s.vec_id=store_id group by query_id) m on m.query_id=c.vec_id", ["cases", "casetop"]),
 }
 
+# Signed random projections in integers, as the index computes them: codes of stored vectors, codes and probes of queries.
+CTE |= {
+    "annfixed": ("select vec_id, list_transform(v, lambda x: floor(x/nv*1048576+0.5)::bigint) as f from emb", ["emb"]),
+    "annplanes": (f"select t, b, list(case when ('0x'||substr(md5('0:'||t||':'||b||':'||d), 1, 1))::int%2=0 then 1 else -1 end order by d) as p "
+                  f"from (select unnest(range({vi.TABLES})) as t), (select unnest(range({vi.BITS})) as b), (select unnest(range(64)) as d) group by t, b", []),
+    "annside": ("select vec_id, t, b, list_sum(list_transform(list_zip(f, p), lambda z: z[1]*z[2]))::bigint as side from annfixed, annplanes", ["annfixed", "annplanes"]),
+    "anncode": ("select vec_id, t, sum(case when side>0 then 1<<b::int else 0 end)::int as code from annside group by vec_id, t", ["annside"]),
+    "annprobe": (f"select vec_id, t, code from anncode union all select c.vec_id, c.t, xor(c.code, (1<<w.b::int)::int) from anncode c join (select *, row_number() over "
+                 f"(partition by vec_id, t order by abs(side), b) as rn from annside) w on w.vec_id=c.vec_id and w.t=c.t and rn<={vi.PROBES}", ["anncode", "annside"]),
+    "annpairs": ("select distinct q.vec_id as query_id, s.vec_id as store_id from annprobe q join anncode s on s.t=q.t and s.code=q.code", ["annprobe", "anncode"]),
+}
+ANN = f"""
+  select query_id, rank, store_id, similarity from (
+    select query_id, store_id, {re_('score', 4)} as similarity, row_number() over (partition by query_id order by score desc, store_id) as rank,
+      count(*) over (partition by query_id) as n from sims join annpairs using (query_id, store_id)) where rank<=5 and n>=5
+  union all
+  select * from topk where query_id not in (select query_id from annpairs group by query_id having count(*)>=5)"""
+
 
 def with_(names: list[str], body: str) -> str:
     """Prefix ``body`` with the blocks it needs, in dependency order."""
@@ -283,7 +306,7 @@ _GOLD = ("id, tweet_id, conversation_id, clean_text as text, intent as auto_inte
          "'' as gold_reply_quality, case when id<=50 then 'YES' else 'NO' end as double_label, '' as notes")
 
 ORACLES: dict[str, str] = {
-    "load_messages": with_(["tweets"], f"select {_RAW} from tweets"),
+    "load_messages": with_(["tweets"], f"select {_RAW}, row_number() over (partition by author_id order by ingest_seq) as place from tweets"),
     "normalize_messages": with_(["tweets"], f"select {_RAW}, ingest_seq from tweets"),
     "read_annotations": with_(["annotations"], "select id, tweet_id, conversation_id, text, gold_intent, should_escalate, notes from annotations"),
     "intent_dimension": "select lang as intent from documents where lang not like '\\_%' escape '\\' union select source from documents where source not like '\\_%' escape '\\'",
@@ -326,6 +349,7 @@ ORACLES: dict[str, str] = {
     "rater_join": with_(["long"], "select id, dimension, cast(human as int) as human, cast(judge as int) as judge from long"),
     "topk_similar": with_(["topk"], "select * from topk"),
     "topk_similar_tiled": with_(["topk"], "select * from topk"),
+    "ann_topk": with_(["annpairs", "topk"], ANN),
     "dataset_summary": with_(["tweets"], f"""select count(*) as total_rows, count_if(inbound) as inbound_rows, count_if(not inbound) as outbound_rows,
         {re_('count_if(inbound)*100e0/count(*)', 2)} as inbound_pct,
         count(*)-(select count(*) from (select distinct * exclude(ingest_seq) from tweets)) as duplicate_rows,
@@ -367,6 +391,27 @@ ORACLES: dict[str, str] = {
         {re_('macro_f1', 4)} as val_f1, {re_('auto_handle_rate', 3)} as auto_handle_rate from (select * from grid order by round(macro_f1, 12) desc, classifier_threshold, retrieval_threshold limit 1)"""),
     "annotation_summary": with_(["checked"], """select count(*) as rows, count_if(error is null and gold_intent<>'' and esc<>'') as labelled,
         count(*)-count_if(error is null and gold_intent<>'' and esc<>'') as unlabelled, count_if(error is not null) as errors from checked"""),
+    "leaked_conversations": with_(["splits", "golden", "cpairs"], """select check_name, conversation_id from (
+        with rows as (select conversation_id as c, split from splits union all select conversation_id, 'train' from splits where split='test' and ends_with(tweet_id, '01')),
+          test as (select distinct c from rows where split='test')
+        select 'train_test_overlap' as check_name, c as conversation_id from test where c in (select c from rows where split='train')
+        union all select 'validation_test_overlap', c from test where c in (select c from rows where split='validation')
+        union all select 'indexed_test_overlap', c from test where c in (select conversation_id from cpairs)
+        union all select distinct 'indexed_golden_overlap', conversation_id from golden where conversation_id<>'' and conversation_id in (select conversation_id from cpairs))"""),
+    "shared_texts": """with ranked as (select doc_id::varchar as c, text, row_number() over (order by md5('42:'||doc_id), doc_id::varchar) as r, count(*) over () as n from documents),
+        rows as (select *, case when r<=floor(n*0.7e0) then 'train' when r<=floor(n*0.7e0)+floor(n*0.15e0) then 'validation' else 'test' end as split from ranked)
+        select md5(text) as text_md5, count(*) filter (split='train') as train, count(*) filter (split='validation') as validation,
+        count(*) filter (split='test') as test, count(distinct c) as conversations from rows group by md5(text) having count(distinct split)>1""",
+    "bootstrap_ci": with_(["preds"], f"""select {', '.join(f"{re_(f'quantile_cont({m}, {q})', 4)} as {m}_{end}" for m in ('accuracy', 'macro_f1') for q, end in ((0.025, 'low'), (0.975, 'high')))} from (
+        with cells as (select y_true, y_pred, count(*) as n from preds group by 1, 2),
+          drawn as (select it, y_true, y_pred, greatest(0, floor(n + sqrt(n)*z + (z*z-1e0)/6e0 + (z-z*z*z)/(72e0*sqrt(n)) + 0.5e0))::bigint as n from (
+            select *, sqrt(-2e0*ln((('0x'||substr(h, 1, 8))::bigint+0.5e0)/4294967296e0))*cos(2e0*pi()*((('0x'||substr(h, 9, 8))::bigint+0.5e0)/4294967296e0)) as z from (
+              select *, md5('42|'||it||'|'||y_true||'|'||y_pred) as h from cells, (select unnest(range(1000)) as it)))),
+          names as (select y_true as label from cells union select y_pred from cells),
+          f as (select it, label, sum(case when y_true=label and y_pred=label then n else 0 end) as tp, sum(case when y_true=label then n else 0 end) as t,
+            sum(case when y_pred=label then n else 0 end) as p from drawn, names group by it, label)
+        select it, sum(tp)*1e0/any_value(total) as accuracy, avg(case when t+p>0 then 2e0*tp/(t+p) else 0e0 end) as macro_f1
+        from f join (select it, sum(n) as total from drawn group by it) using (it) group by it)"""),
     "leakage_audit": with_(["splits", "golden", "cpairs", "evidence", "excluded"], """select check_name, n, must_be_zero, not must_be_zero or n=0 as passed from (
         select 'train_test_overlap' as check_name, count(*) as n, true as must_be_zero from (select conversation_id from splits where split='train' intersect select conversation_id from splits where split='test')
         union all select 'validation_test_overlap', count(*), true from (select conversation_id from splits where split='validation' intersect select conversation_id from splits where split='test')

@@ -11,7 +11,7 @@ from threadlens.functions.numeric import half_even
 from threadlens.functions.prompts import JUDGE_DIMENSIONS, generation_prompt, judge_prompt, template_reply
 from threadlens.functions.text import INTENTS, clean_text, label_intent
 from threadlens.operators import annotation, brands, decision, features, golden, judging, metrics, models, profile
-from threadlens.operators import retrieval, splits, threads
+from threadlens.operators import retrieval, splits, threads, vector_index
 from threadlens.operators.scoring import score_messages as score
 from threadlens.schema import TOP_K
 from threadlens.sources import annotations as annotation_source
@@ -38,15 +38,17 @@ def query(fn):
 
 @query
 def load_messages(spark, sf):
-    """Messages written as CSV in parallel, then ingested."""
+    """Messages written as CSV files by ranges of their order, then ingested; ``place`` is the order within an author."""
     path = shared_folder(spark, "csv")
-    raw = fx.tweets(spark, sf).select(
+    raw = fx.tweets(spark, sf).repartitionByRange(16, "ingest_seq").sortWithinPartitions("ingest_seq").select(
         F.concat(F.col("tweet_id"), F.lit(" ")).alias("tweet_id"), "author_id", F.initcap(F.col("inbound").cast("string")).alias("inbound"),
         stamp(), "text", "response_tweet_id", F.coalesce(PARENT, F.lit("nan")).alias(PARENT))
     raw.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False) \
         .option("ignoreTrailingWhiteSpace", False).csv(path)
-    return message_source.load_messages(spark, path).select(
-        "tweet_id", "author_id", "inbound", stamp(), "text", "response_tweet_id", PARENT)
+    loaded = message_source.load_messages(spark, path)
+    order = F.row_number().over(Window.partitionBy("author_id").orderBy("ingest_seq"))
+    return loaded.withColumn("place", order).select(
+        "tweet_id", "author_id", "inbound", stamp(), "text", "response_tweet_id", PARENT, "place")
 
 
 @query
@@ -290,6 +292,13 @@ def topk_similar_tiled(spark, sf):
     return retrieval.topk_similar(e, e, query_id="vec_id", store_id="vec_id", plan="tiled", tile_rows=200)
 
 
+@query
+def ann_topk(spark, sf):
+    """The embeddings against themselves by signed random projections."""
+    e = fx.table(spark, sf, "embeddings")
+    return vector_index.ann_topk(e, e, query_id="vec_id", store_id="vec_id")
+
+
 # ---------------------------------------------------------------- aggregates
 
 @query
@@ -430,6 +439,27 @@ def leakage_audit(spark, sf):
     return splits.leakage_audit(pairs, indexed, rows, gold)
 
 
+def leaky_inputs(spark, sf):
+    """(splits with some test rows planted in train, golden rows, all pairs as an unfiltered index)."""
+    rows, gold, pairs, _ = evidence(spark, sf)
+    planted = rows.where((F.col("split") == "test") & F.col("tweet_id").endswith("01")).withColumn("split", F.lit("train"))
+    return rows.unionByName(planted), gold, pairs
+
+
+@query
+def leaked_conversations(spark, sf):
+    """Every overlap that planted rows and an unfiltered index cause, by conversation."""
+    rows, gold, pairs = leaky_inputs(spark, sf)
+    return splits.leaked_conversations(pairs, rows, gold)
+
+
+@query
+def shared_texts(spark, sf):
+    """Document texts that stand in more than one split when every document is a conversation."""
+    rows = fx.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("conversation_id"), F.col("text").alias("clean_text"))
+    return splits.shared_texts(splits.conversation_split(rows))
+
+
 @query
 def exclusion_set(spark, sf):
     rows = split_rows(spark, sf)
