@@ -1,16 +1,18 @@
-"""TF-IDF features as a long (document, term, weight) table and as ML vectors."""
+"""TF-IDF features as a long (document, term, weight) table, as ML vectors and as scores of linear models."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from threadlens.functions.text import ngrams, tokens
+from threadlens.sources.scratch import materialize, shared_folder
 
 
 @dataclass(frozen=True)
@@ -35,6 +37,15 @@ def discovery_spec() -> TfidfSpec:
                      stop_words=tuple(StopWordsRemover.loadDefaultStopWords("english")))
 
 
+def grams_of(text: str, spec: TfidfSpec) -> Column:
+    """The n-grams of a text column, stop words taken out first."""
+    toks = tokens(F.col(text))
+    if spec.stop_words:
+        stops = F.array(*[F.lit(w) for w in spec.stop_words])
+        toks = F.filter(toks, lambda t: ~F.array_contains(stops, t))
+    return ngrams(toks, spec.max_n)
+
+
 def term_counts(docs: DataFrame, spec: TfidfSpec = CLASSIFIER, *, key: str = "doc_id",
                 text: str = "text") -> DataFrame:
     """(key, term, tf).  ``key`` must identify a document.
@@ -43,18 +54,26 @@ def term_counts(docs: DataFrame, spec: TfidfSpec = CLASSIFIER, *, key: str = "do
     count is the distance between the places where it and the next term start.  No text
     or token is shuffled.
     """
-    toks = tokens(F.col(text))
-    if spec.stop_words:
-        stops = F.array(*[F.lit(w) for w in spec.stop_words])
-        toks = F.filter(toks, lambda t: ~F.array_contains(stops, t))
     g, s = F.col("g"), F.col("s")
-    grams = docs.select(key, toks.alias("t")).select(key, F.sort_array(ngrams(F.col("t"), spec.max_n)).alias("g"))
+    grams = docs.select(key, F.sort_array(grams_of(text, spec)).alias("g"))
     starts = grams.withColumn("s", F.filter(
         F.transform(g, lambda x, i: F.when((i == 0) | (x != F.get(g, i - 1)), i)), lambda i: i.isNotNull()))
     return starts.select(key, F.inline(F.transform(s, lambda i, p: F.struct(
         F.get(g, i).alias("term"), (F.coalesce(F.get(s, p + 1), F.size(g)) - i).cast("long").alias("tf")))))
 
 
+def term_totals(docs: DataFrame, spec: TfidfSpec = CLASSIFIER, *, text: str = "text") -> DataFrame:
+    """(term, df, cf): documents that hold a term, and its places, over all documents.
+
+    Places and distinct terms of a document are exploded and summed up within tasks, so
+    only one row per term and task is shuffled and nothing is counted per document.
+    """
+    grams = docs.select(grams_of(text, spec).alias("g"))
+    places = grams.select(F.explode("g").alias("term"), F.lit(0).alias("d"), F.lit(1).alias("c"))
+    held = grams.select(F.explode(F.array_distinct("g")).alias("term"), F.lit(1).alias("d"), F.lit(0).alias("c"))
+    return places.unionAll(held).groupBy("term").agg(F.sum("d").alias("df"), F.sum("c").alias("cf"))
+
+
 def tfidf_vocabulary(docs: DataFrame, spec: TfidfSpec = CLASSIFIER, *, key: str = "doc_id",
                      text: str = "text") -> DataFrame:
     """(term, idx, df, cf, idf): at most ``max_features`` terms by corpus frequency.
@@ -63,8 +82,7 @@ def tfidf_vocabulary(docs: DataFrame, spec: TfidfSpec = CLASSIFIER, *, key: str
     term.  idx numbers the kept terms alphabetically (a window over the capped list).
     """
     n_docs = docs.agg(F.count(F.lit(1)))
-    stats = term_counts(docs, spec, key=key, text=text).groupBy("term") \
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")).withColumn("n", n_docs.scalar())
+    stats = term_totals(docs, spec, text=text).withColumn("n", n_docs.scalar())
     kept = stats.where((F.col("df") >= spec.min_df) & (F.col("df") <= F.col("n") * spec.max_df)) \
         .orderBy(F.desc("cf"), "term").limit(spec.max_features)
     return kept.select(
@@ -96,18 +114,39 @@ def tfidf_weights(docs: DataFrame, vocab: DataFrame, spec: TfidfSpec = CLASSIFIE
         .select(key, "term", F.col("w").alias("weight"))
 
 
-@F.udf(returnType=VectorUDT(), useArrow=True)
-def _sparse(size, indices, values):
-    """Arrow-batched packing only; the numbers are computed in SQL."""
-    return Vectors.sparse(size, indices or [], values or [])
+def vector_table(docs: DataFrame, vocab: DataFrame, size: int, spec: TfidfSpec = CLASSIFIER, *, key: str = "doc_id",
+                 text: str = "text", keep: Sequence[str] = (), packed: bool = False) -> DataFrame:
+    """A written table of ``keep`` and sparse ``features``, to be read by many iterations of a fit.
 
-
-def tfidf_vectors(docs: DataFrame, vocab: DataFrame, size: int, spec: TfidfSpec = CLASSIFIER, *,
-                  key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` plus a sparse ``features`` column; documents without known terms get zeros."""
+    The features are written in the form in which vectors are stored and read back as vectors, so nothing
+    leaves the JVM; with ``packed`` as the arrays ``indices`` and ``values``.  Documents without known terms get zeros.
+    """
     ws = _term_weights(docs, vocab, spec, key, text)
-    return docs.join(ws, key, "left").withColumn("features", _sparse(
-        F.lit(size), F.transform("ws", lambda x: x["idx"]), F.transform("ws", lambda x: x["w"]))).drop("ws")
+    features = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(size).alias("size"),
+                        F.coalesce(F.transform("ws", lambda x: x["idx"]), F.array().cast("array<int>")).alias("indices"),
+                        F.coalesce(F.transform("ws", lambda x: x["w"]), F.array().cast("array<double>")).alias("values"))
+    rows = docs.select(*{key: 0, **dict.fromkeys(keep)}).join(ws, key, "left").select(*keep, features.alias("features"))
+    if packed:
+        return materialize(rows.select(*keep, "features.indices", "features.values"), "features")
+    path = shared_folder(docs.sparkSession, "features")
+    rows.write.parquet(path)
+    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("features", VectorUDT())])
+    return docs.sparkSession.read.schema(schema).parquet(path)
+
+
+def term_scores(docs: DataFrame, terms: DataFrame, labels: Sequence[str], spec: TfidfSpec = CLASSIFIER, *, key: str = "doc_id",
+                text: str = "text") -> DataFrame:
+    """(key, z): per label the dot product of a document's unit TF-IDF vector with the label's coefficients.
+
+    ``terms`` holds (term, idf, coefs array) of a capped vocabulary, at most ``max_features`` rows.  Documents without
+    known terms have no row.
+    """
+    tf = F.col("tf").cast("double")
+    raw = ((1.0 + F.log(tf)) if spec.sublinear else tf) * F.col("idf")
+    hits = term_counts(docs, spec, key=key, text=text).join(F.broadcast(terms), "term").withColumn("w", raw)
+    sums = hits.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
+                                 *[F.sum(F.col("w") * F.col("coefs")[k]).alias(f"s{k}") for k in range(len(labels))])
+    return sums.select(key, F.array(*[F.col(f"s{k}") / F.col("norm") for k in range(len(labels))]).alias("z"))
 
 
 def cluster_terms(weights: DataFrame, clusters: DataFrame, *, key: str = "doc_id", cluster: str = "cluster_id",

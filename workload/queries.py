@@ -565,6 +565,8 @@ def graded_docs(spark, sf):
 
 DISCOVERY = features.TfidfSpec(min_df=5, max_df=0.85, max_features=5000, sublinear=False,
                                stop_words=tuple(fx.STOP_WORDS))
+DISCOVERY_ROUNDS = 15
+EXACT = 1e-13  # fits that SQL repeats stop where doubles do
 
 
 @query
@@ -597,56 +599,65 @@ def cluster_terms(spark, sf):
 @query
 def tfidf_lr(spark, sf):
     """Trained on the labelled documents, applied to all of them."""
-    model = models.fit_tfidf_lr(graded_docs(spark, sf), key="doc_id", text="text", spec=features.CLASSIFIER)
-    return model.predict(docs(spark, sf)).select("doc_id", "prediction", half_even(F.col("confidence"), 3).alias("confidence"))
+    model = models.fit_tfidf_lr(graded_docs(spark, sf), key="doc_id", text="text", spec=features.CLASSIFIER, tol=EXACT)
+    return model.predict(docs(spark, sf)).select("doc_id", "prediction", half_even(F.col("confidence"), 2).alias("confidence"))
 
 
 def vector_rows(spark, sf):
-    return fx.table(spark, sf, "embeddings").select("vec_id", "embedding", F.concat(F.lit("class_"), "label").alias("intent"))
+    """Vectors with their class as label, split by vector."""
+    rows = fx.table(spark, sf, "embeddings").select("vec_id", "embedding", F.concat(F.lit("class_"), "label").alias("intent"))
+    return splits.conversation_split(rows, key="vec_id")
 
 
 @query
 def embedding_lr(spark, sf):
+    """Trained on the train split, reported per split."""
     rows = vector_rows(spark, sf)
-    model = models.fit_embedding_lr(rows, key="vec_id")
-    preds = model.predict(rows)
-    return metrics.classification_report(metrics.confusion_cells(preds, "intent", "prediction"))
+    preds = models.fit_embedding_lr(rows.where("split = 'train'"), key="vec_id").predict(rows)
+    return metrics.classification_report(metrics.confusion_cells(preds, "intent", "prediction", ["split"]), ["split"])
 
 
 @query
 def predict_with_confidence(spark, sf):
     rows = vector_rows(spark, sf)
-    preds = models.fit_embedding_lr(rows, key="vec_id").predict(rows)
-    return preds.select("vec_id", "intent", "prediction", half_even(F.col("confidence"), 3).alias("confidence"),
+    preds = models.fit_embedding_lr(rows.where("split = 'train'"), key="vec_id").predict(rows)
+    return preds.select("vec_id", "split", "intent", "prediction", half_even(F.col("confidence"), 3).alias("confidence"),
                         F.size("proba").alias("n_classes"))
 
 
 @query
 def tune_regularization(spark, sf):
+    """Chosen on the validation split, scored once on the test split."""
     rows = splits.conversation_split(graded_docs(spark, sf), key="doc_id")
-    table, _ = models.tune_regularization(rows.where("split = 'train'"), rows.where("split = 'validation'"),
+    table, _ = models.tune_regularization(*[rows.where(F.col("split") == s) for s in ("train", "validation")], test=rows.where("split = 'test'"),
                                           key="doc_id", text="text", spec=features.CLASSIFIER)
     return table
 
 
 @query
 def top_features(spark, sf):
-    model = models.fit_tfidf_lr(graded_docs(spark, sf), key="doc_id", text="text", spec=features.CLASSIFIER)
-    return model.top_features(10).select("intent", "rank", "term", half_even(F.col("coefficient"), 4).alias("coefficient"))
+    model = models.fit_tfidf_lr(graded_docs(spark, sf), key="doc_id", text="text", spec=features.CLASSIFIER, tol=EXACT)
+    return model.top_features(10, digits=5).select("intent", "rank", "term", half_even(F.col("coefficient"), 3).alias("coefficient"))
 
 
 @query
 def discover_intents(spark, sf):
-    clusters, _ = models.discover_intents(docs(spark, sf))
+    clusters, _ = models.discover_intents(docs(spark, sf), spec=DISCOVERY, restarts=5, max_iter=DISCOVERY_ROUNDS)
     return clusters
 
 
 @query
 def save_model(spark, sf):
+    """Both kinds written and read again; the embedding model is the one that a reader of the folder gets."""
     path = shared_folder(spark, "models")
-    models.fit_embedding_lr(vector_rows(spark, sf), key="vec_id").save(path)
-    model = models.load_best_model(spark, path)
-    return model.predict(vector_rows(spark, sf)).select("vec_id", "prediction", half_even(F.col("confidence"), 3).alias("confidence"))
+    models.fit_tfidf_lr(graded_docs(spark, sf), key="doc_id", text="text", spec=features.CLASSIFIER, tol=EXACT).save(path)
+    by_text = models.load_best_model(spark, path)
+    rows = vector_rows(spark, sf)
+    models.fit_embedding_lr(rows.where("split = 'train'"), key="vec_id").save(path)
+    by_vector = models.load_best_model(spark, path)
+    found = [m.predict(r).select(F.lit(m.kind).alias("kind"), F.col(m.key).alias("id"), "prediction", half_even(F.col("confidence"), 2).alias("confidence"))
+             for m, r in ((by_text, docs(spark, sf)), (by_vector, rows))]
+    return found[0].unionByName(found[1])
 
 
 def scoring_inputs(spark, sf):
