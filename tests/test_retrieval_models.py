@@ -6,7 +6,7 @@ from threadlens.operators import features, models, retrieval, vector_index
 from threadlens.operators.scoring import score_messages
 from threadlens.sources.scratch import materialize, shared_folder
 from threadlens.sources.sinks import write_evidence_store
-from threadlens.streaming.score import score_stream
+from threadlens.streaming import score as streaming
 
 
 @pytest.fixture(scope="module")
@@ -187,15 +187,97 @@ def test_scoring_batch_and_stream_agree(spark, train, vectors):
     assert (blank.decision, blank.decision_reason, blank.intent) == ("ESCALATE", "Empty or unreadable message.", None)
     one = batch["m000"]
     assert one.reply == "reply s000" and one.grounded and len(one.evidence) == 5 and one.evidence[0].similarity == 1.0
+    index = retrieval.build_evidence_index(store, tile_rows=4)
+    by_index = {r.tweet_id: r for r in score_messages(msgs, model, index).collect()}
+    assert {k: (v.decision, v.reply, v.evidence) for k, v in by_index.items()} == {k: (v.decision, v.reply, v.evidence) for k, v in batch.items()}
     inbox, out, progress = (shared_folder(spark, n) for n in ("inbox", "out", "progress"))
     msgs.write.parquet(inbox)
     for _ in range(2):   # the second start finds nothing new
-        stream = spark.readStream.schema(msgs.schema).parquet(inbox)
-        score_stream(stream, model, store, out=out, checkpoint=progress).awaitTermination()
-    got = {r.tweet_id: (r.decision, r.reply) for r in spark.read.parquet(out).collect()}
+        stream = streaming.message_stream(spark, inbox, "tweet_id string, text string, embedding array<double>")
+        streaming.score_stream(stream, model, store, out=out, checkpoint=progress).awaitTermination()
+    got = {r.tweet_id: (r.decision, r.reply) for r in streaming.read_scored(spark, out).collect()}
     assert got == {k: (v.decision, v.reply) for k, v in batch.items()}
 
 
+def test_stream_batches_replay_and_tiles(spark, train, monkeypatch):
+    """Three bounded batches; a batch that comes again, or dies before its commit, changes nothing; few tiles are read."""
+    m = clustered(240, 6)
+    model = models.fit_tfidf_lr(train)
+    store = frame(spark, m).select(F.col("id").alias("store_id"), "embedding", F.concat(F.lit("reply "), "id").alias("brand_text"))
+    index = retrieval.build_evidence_index(store, tile_rows=20)
+    inbox, out = shared_folder(spark, "inbox"), shared_folder(spark, "out")
+    parts = [frame(spark, m[k * 40:k * 40 + 3] if k % 2 else m[:3], f"m{k}").select(F.col("id").alias("tweet_id"), F.lit("broken phone").alias("text"), "embedding") for k in range(6)]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(inbox)
+    visited = []
+    scan = vector_index.scan_in_place
+    monkeypatch.setattr(vector_index, "scan_in_place", lambda visits, *rest: (visited.append({r.tile for r in visits.select("tile").distinct().collect()}), scan(visits, *rest))[1])
+    stream = streaming.message_stream(spark, inbox, "tweet_id string, text string, embedding array<double>", files_per_batch=2)
+    streaming.score_stream(stream, model, index, out=out, checkpoint=shared_folder(spark, "progress")).awaitTermination()
+    commits = streaming.committed(spark, out).orderBy("batch_id").collect()
+    assert [(c.batch_id, c.rows) for c in commits] == [(0, 6), (1, 6), (2, 6)]
+    assert len(visited) == 6 and all(len(tiles) < len(index.tiles.centres) for tiles in visited)
+    rows = streaming.read_scored(spark, out)
+    assert rows.count() == 18 and rows.groupBy("tweet_id").count().where("count > 1").count() == 0
+    assert not streaming.score_batch(parts[0], 1, model, index, out)                      # replayed
+    parts[0].write.parquet(f"{out}/data/batch_id=3/attempt=died")                         # no commit
+    assert streaming.read_scored(spark, out).count() == 18
+
+
+def test_fit_stands_at_its_optimum(spark, train):
+    vocab, size = models.frozen_vocabulary(train, features.CLASSIFIER, key="tweet_id", text="clean_text")
+    vectors = features.vector_table(train, vocab, size, key="tweet_id", text="clean_text", keep=["intent"])
+    for c in (0.5, 5.0):
+        weights, labels = models.fit_logistic(vectors, "intent", c)
+        flat = models.gradient(models.IntentModel("tfidf_lr", weights, labels, vocab), vectors, "intent", c).collect()
+        assert {r.label for r in flat} == {"hardware", "billing", "network"} and all(r.largest < 1e-5 for r in flat)
+        off = weights.withColumn("weight", F.col("weight") + F.when(F.col("label") == "billing", 0.1).otherwise(0.0))
+        assert max(r.largest for r in models.gradient(models.IntentModel("tfidf_lr", off, labels, vocab), vectors, "intent", c).collect()) > 1e-3
+
+
+def test_embedding_model_as_a_table(spark):
+    m = np.concatenate([np.random.default_rng(k).normal(loc=3 * k, scale=0.3, size=(30, 3)) for k in range(3)])
+    rows = spark.createDataFrame([(k, v.tolist(), f"c{k // 30}") for k, v in enumerate(m)], "vec_id int, embedding array<double>, intent string")
+    model = models.fit_embedding_lr(rows, key="vec_id")
+    assert model.weights.count() == 3 * 4
+    w = {(r.label, r.idx): r.weight for r in model.weights.collect()}
+    for r in model.predict(rows).collect():
+        z = np.array([w[(c, -1)] + sum(w[(c, j)] * x for j, x in enumerate(r.embedding)) for c in ("c0", "c1", "c2")])
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert r.prediction == r.intent and np.allclose([r.proba[c] for c in ("c0", "c1", "c2")], p, atol=1e-12)
+
+
+def test_tuning_scores_only_the_chosen_model_on_the_test_split(spark, train):
+    val = train.where("clean_text like '%phone%' or clean_text like '%refund%'")
+    table, best = models.tune_regularization(train, val, (0.1, 1.0, 10.0), test=train)
+    rows = table.orderBy("c").collect()
+    assert [r.best for r in rows].count(True) == 1
+    top = next(r for r in rows if r.best)
+    assert top.val_macro_f1 == max(r.val_macro_f1 for r in rows) and top.c == min(r.c for r in rows if r.val_macro_f1 == top.val_macro_f1)
+    assert all((r.test_accuracy is None) == (not r.best) for r in rows)
+    want = models.CellEvaluator("intent").scores(best.predict(train))
+    assert (top.test_accuracy, top.test_macro_f1) == want
+
+
+def test_kmeans_restarts_side_by_side(spark):
+    texts = ["red green blue", "green red", "blue red green", "one two three", "two one", "three two one", "cat dog", "dog cat bird"] * 3 + ["", None]
+    docs = materialize(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), "docs")
+    spec = features.TfidfSpec(min_df=1, max_df=1.0, sublinear=False)
+    clusters, assigned = models.discover_intents(docs, n_clusters=3, restarts=8, spec=spec)
+    of = {r.doc_id: r.cluster_id for r in assigned.collect()}
+    groups = {frozenset(texts[k] for k in of if of[k] == c and texts[k]) for c in set(of.values())}
+    assert frozenset(["red green blue", "green red", "blue red green"]) in groups and frozenset(["cat dog", "dog cat bird"]) in groups
+    assert sum(r.size for r in clusters.collect()) == len(texts)
+    # each restart moves as it would alone
+    vocab, size = models.frozen_vocabulary(docs, spec, key="doc_id", text="text")
+    packed = features.vector_table(docs, vocab, size, spec, key="doc_id", text="text", keep=["doc_id"], packed=True)
+    centres = models.first_centres(packed, "doc_id", 4, size, 3, 42)
+    together, cost = models.lloyd_round(packed, centres, 4)
+    for r in range(3):
+        alone, own = models.lloyd_round(packed, centres[4 * r:4 * r + 4], 4)
+        assert np.allclose(alone, together[4 * r:4 * r + 4]) and np.allclose(own, cost[r])
+
+
 def test_tfidf_shuffles_no_text(spark):
     docs = materialize(spark.createDataFrame([(1, "aa bb aa"), (2, "aa cc"), (3, ""), (4, None)], "doc_id int, text string"), "docs")
     vocab = features.tfidf_vocabulary(docs, features.TfidfSpec(min_df=1, max_df=1.0))

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 
 from threadlens.functions.numeric import half_even
 from threadlens.functions.text import is_blank
-from threadlens.operators.vector_index import TILE_ROWS, build_tile_index, search_tiles
+from threadlens.operators.vector_index import TILE_ROWS, TileIndex, build_tile_index, search_tiles
 from threadlens.plans.skew import HOT_ROWS, skew_lookup
 from threadlens.schema import TOP_K
 
@@ -150,6 +150,13 @@ def _broadcast_candidates(q: DataFrame, s: DataFrame, k: int, schema: T.StructTy
     return s.mapInArrow(scan, schema)
 
 
+META = ["customer_text", "brand_text", "conversation_id", "created_at"]
+
+
+def _meta(store: DataFrame) -> list[Column]:
+    return [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in store.columns else F.lit("").alias(c) for c in META]
+
+
 def attach_evidence(topk: DataFrame, store: DataFrame, *, store_id: str,
                     hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """(query_id, evidence, n_evidence, evidence_score): the ranked examples per query.
@@ -157,19 +164,30 @@ def attach_evidence(topk: DataFrame, store: DataFrame, *, store_id: str,
     A store row may be the best match of very many queries, hence the skew-aware
     lookup.  A query carries at most k examples.
     """
-    def text(c):
-        return F.coalesce(F.col(c).cast("string"), F.lit("")) if c in store.columns else F.lit("")
+    meta = store.select(F.col(store_id).alias("__sid"), *_meta(store))
+    return pack_evidence(skew_lookup(topk, meta, "store_id", "__sid", spread="query_id", how="inner", hot_rows=hot_rows))
+
 
-    meta = store.select(F.col(store_id).alias("__sid"), *[text(c).alias(c) for c in (
-        "customer_text", "brand_text", "conversation_id", "created_at")])
-    found = skew_lookup(topk, meta, "store_id", "__sid", spread="query_id", how="inner", hot_rows=hot_rows)
-    item = F.struct("rank", "similarity", "customer_text", "brand_text", "conversation_id", "created_at")
+def pack_evidence(found: DataFrame) -> DataFrame:
+    """Top-k rows with their examples as one row per query."""
     return found.groupBy("query_id").agg(
-        F.array_sort(F.collect_list(item)).alias("evidence"),
+        F.array_sort(F.collect_list(F.struct("rank", "similarity", *META))).alias("evidence"),
         F.count(F.lit(1)).cast("int").alias("n_evidence"),
         half_even(F.avg("similarity"), 4).alias("evidence_score"))
 
 
+def build_evidence_index(store: DataFrame, path: str | None = None, *, store_id: str = "store_id", vector: str = "embedding", k: int = TOP_K, **params) -> TileIndex:
+    """A tile index of an evidence store with the examples' texts beside their vectors."""
+    return build_tile_index(store.select(F.col(store_id).alias("store_id"), vector, *_meta(store)), path, store_id="store_id", vector=vector, keep=k, columns=META, **params)
+
+
+def find_evidence(queries: DataFrame, store: DataFrame | TileIndex, k: int = TOP_K, *, query_id: str, store_id: str = "store_id", vector: str = "embedding") -> DataFrame:
+    """Evidence of every query from a store, or from an index whose visited tiles alone are read."""
+    if isinstance(store, TileIndex):
+        return pack_evidence(search_tiles(queries, store, k, query_id=query_id, vector=vector, extra=META))
+    return attach_evidence(topk_similar(queries, store, k, query_id=query_id, store_id=store_id, vector=vector), store, store_id=store_id)
+
+
 def evidence_score(queries: DataFrame, topk: DataFrame, *, query_id: str) -> DataFrame:
     """Mean of the rounded similarities per query, 0.0 where nothing was retrieved."""
     means = topk.groupBy("query_id").agg(F.avg("similarity").alias("m"), F.count(F.lit(1)).alias("n"))

@@ -9,7 +9,8 @@ from threadlens.functions.prompts import template_reply
 from threadlens.functions.text import clean_text
 from threadlens.operators.decision import escalation_gates
 from threadlens.operators.models import IntentModel
-from threadlens.operators.retrieval import attach_evidence, topk_similar
+from threadlens.operators.retrieval import find_evidence
+from threadlens.operators.vector_index import TileIndex
 from threadlens.schema import DEFAULT_BRAND, ESCALATE, EVIDENCE_TYPE, TOP_K
 
 OUTPUT = ["brand", "customer_message", "clean_message", "intent", "confidence", "intent_proba", "evidence",
@@ -17,19 +18,19 @@ OUTPUT = ["brand", "customer_message", "clean_message", "intent", "confidence",
           "composite_risk", "classifier_used"]
 
 
-def score_messages(messages: DataFrame, model: IntentModel, store: DataFrame, *, key: str = "tweet_id",
+def score_messages(messages: DataFrame, model: IntentModel, store: DataFrame | TileIndex, *, key: str = "tweet_id",
                    store_id: str = "store_id", brand: str = DEFAULT_BRAND, k: int = TOP_K,
                    vector: str = "embedding") -> DataFrame:
     """One output row per message (unique ``key``, ``text``, ``embedding``).
 
     Messages that are empty after cleaning are escalated without a classification.
-    The store is expected to hold cleaned customer texts' vectors next to metadata.
+    The store is expected to hold cleaned customer texts' vectors next to metadata; an index of it
+    (``build_evidence_index``) is read in the tiles that the messages need only.
     """
     cleaned = messages.withColumn("clean_text", clean_text(F.col("text")))
     usable = cleaned.where(F.col("clean_text") != "")
     predicted = model.predict(usable)
-    top = topk_similar(usable, store, k, query_id=key, store_id=store_id, vector=vector)
-    evidence = attach_evidence(top, store, store_id=store_id).withColumnRenamed("query_id", key)
+    evidence = find_evidence(usable, store, k, query_id=key, store_id=store_id, vector=vector).withColumnRenamed("query_id", key)
     joined = predicted.join(evidence, key, "left") \
         .withColumn("evidence", F.coalesce("evidence", F.array().cast(EVIDENCE_TYPE))) \
         .withColumn("n_evidence", F.coalesce("n_evidence", F.lit(0))) \

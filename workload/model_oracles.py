@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import math
 
+from threadlens.functions.prompts import GENERIC_REPLY, REPLY_TEMPLATES
 from workload import queries as registered
-from workload.oracles import CLASSIFIER, CTE, DISCOVERY, re_, scores, with_, with_tfidf
+from workload.oracles import CLASSIFIER, CTE, DISCOVERY, W, clean, f2, lit, re_, scores, tfidf, with_, with_tfidf
 
 STEEPEST = 0.75   # above half the largest eigenvalue of the mean outer product of unit vectors with an intercept
 
@@ -65,15 +66,15 @@ GRADED = {
 }
 
 
-def text_features(train: str) -> dict[str, tuple[str, list[str]]]:
-    """Blocks of a vocabulary of the documents in ``train`` and the features of all documents."""
+def text_features(train: str, everything: str = "documents") -> dict[str, tuple[str, list[str]]]:
+    """Blocks of a vocabulary of the documents in ``train`` and the features of all documents in ``everything``."""
     return {
         "tcounts": (f"select * from counts where doc_id in (select doc_id from {train})", ["counts", train]),
         "tvocab": (f"select term, row_number() over (order by term)-1 as idx, ln((n+1e0)/(df+1e0))+1e0 as idf from (select term, count(*) as df, sum(tf) as cf, "
                    f"(select count(*) from {train}) as n from tcounts group by term) where df>=2 and df<=n*0.95e0 order by cf desc, term limit 10000", ["tcounts"]),
         "tnum": ("select term, row_number() over (order by term)-1 as idx, idf from tvocab", ["tvocab"]),
         "tall": ("select doc_id as i, idx as p, w/sqrt(sum(w*w) over (partition by doc_id)) as xv from (select doc_id, idx, (1e0+ln(tf))*idf as w from counts join tnum using (term)) "
-                 "union all select doc_id, -1, 1e0 from documents", ["tnum", "counts"]),
+                 f"union all select doc_id, -1, 1e0 from {everything}", ["tnum", "counts", *([everything] if everything != "documents" else [])]),
         "ttrain": (f"select i, y, p, xv from tall join {train} on doc_id=i", ["tall", train]),
     }
 
@@ -140,6 +141,37 @@ def clusters() -> str:
             CTE.pop(k)
 
 
+MESSAGES = tfidf(**CLASSIFIER) | text_features("mtrain", "musable") | fit("ttrain", "mf", "(select count(*) from mtrain)", 1.0, 350, 400) | {
+    "mrows": (f"select tweet_id, text, {clean('text')} as clean_message, x.embedding::double[] as v from uniq join embeddings x "
+              "on x.vec_id=ingest_seq%(select count(*) from embeddings) where inbound", ["uniq"]),
+    "musable": ("select tweet_id as doc_id from mrows where clean_message<>''", ["mrows"]),
+    "toks": (f"select tweet_id as doc_id, regexp_extract_all(lower(clean_message), '[{W}]{{2,}}') as t from mrows where clean_message<>''", ["mrows"]),
+    "mtrain": ("select tweet_id as doc_id, intent as y from splits where split='train'", ["splits"]),
+    "mstore": ("select customer_tweet_id as store_id, brand_text, list_transform(v, lambda x: (x/sqrt(list_inner_product(v, v)))::float::double) as v from ("
+               "select e.*, x.embedding::double[] as v from evidence e join uniq u on u.tweet_id=e.customer_tweet_id join embeddings x on x.vec_id=u.ingest_seq%(select count(*) from embeddings))",
+               ["evidence", "uniq"]),
+    "mtop": (f"select tweet_id, rn, brand_text, {re_('score', 4)} as similarity from (select *, row_number() over (partition by tweet_id order by score desc, store_id) as rn from ("
+             "select tweet_id, store_id, brand_text, round(list_inner_product(q.v, s.v)/sqrt(list_inner_product(q.v, q.v)*list_inner_product(s.v, s.v)), 12) as score from mrows q, mstore s "
+             "where clean_message<>'')) where rn<=5", ["mrows", "mstore"]),
+    "mevidence": (f"select tweet_id, count(*) as n, {re_('avg(similarity)', 4)} as evidence_score, arg_min(coalesce(brand_text, ''), rn) as reply from mtop group by tweet_id", ["mtop"]),
+}
+MESSAGES["mpred"] = predictions("mf", "tall")
+MESSAGES["mjoined"] = (f"select *, {re_('0.5e0*(1e0-confidence)+0.5e0*(1e0-evidence_score)', 4)} as risk from (select r.*, prediction as intent, confidence, coalesce(n, 0) as n, "
+                       "coalesce(evidence_score, 0e0) as evidence_score, reply as best from mrows r join mpred on i=r.tweet_id left join mevidence using (tweet_id))", ["mrows", "mpred", "mevidence"])
+MESSAGES["mgated"] = ("select *, case when intent in ('account_access','billing_payment') then 'high_risk_intent' when confidence<0.6e0 then 'low_confidence' "
+                      "when n=0 then 'no_evidence' when evidence_score<0.3e0 then 'weak_evidence' when risk>0.5e0 then 'composite_risk' else 'none' end as gate_triggered from mjoined", ["mjoined"])
+SCORED = f"""select tweet_id, 'AppleSupport' as brand, text as customer_message, clean_message, intent, {re_('confidence', 2)} as confidence, evidence_score,
+    case when n>0 then best else case intent {' '.join(f"when '{k}' then {lit(v)}" for k, v in REPLY_TEMPLATES.items())} else {lit(GENERIC_REPLY)} end end as reply, n>0 as grounded, 'template' as backend,
+    case when gate_triggered='none' then 'AUTO_HANDLE' else 'ESCALATE' end as decision, case gate_triggered
+      when 'high_risk_intent' then concat('Intent ''', intent, ''' is high-risk (financial/security). Always requires human review.')
+      when 'low_confidence' then concat('Classifier confidence ', {f2('confidence')}, ' < threshold 0.6. Intent prediction is uncertain.')
+      when 'no_evidence' then 'No historical support examples retrieved. Cannot generate a grounded response.'
+      when 'weak_evidence' then concat('Retrieval evidence score ', {f2('evidence_score')}, ' < threshold 0.3. Historical examples are not sufficiently similar.')
+      when 'composite_risk' then concat('Composite risk score ', {f2('risk')}, ' > 0.5 (confidence=', {f2('confidence')}, ', evidence=', {f2('evidence_score')}, '). Combined uncertainty too high.')
+      else concat('All gates passed: confidence=', {f2('confidence')}, ', evidence_score=', {f2('evidence_score')}, ', composite_risk=', {f2('risk')}, ', ', n, ' examples retrieved.') end as decision_reason,
+    gate_triggered, {re_('risk', 2)} as composite_risk, 'tfidf_lr' as classifier_used from mgated
+  union all select tweet_id, 'AppleSupport', text, clean_message, null, null, null, null, null, null, 'ESCALATE', 'Empty or unreadable message.', null, null, null from mrows where clean_message=''"""
+
 CONF, ROUGH = re_("confidence", 3), re_("confidence", 2)
 ORACLES = {
     "embedding_lr": in_blocks(VECTORS, ["vecrows"], f"""select split, label, {re_('p', 4)} as precision, {re_('r', 4)} as recall, {re_('f1', 4)} as f1,
@@ -153,4 +185,6 @@ ORACLES = {
         union all select 'embedding_lr', i, prediction, {ROUGH} from vecpred""", tf=True),
     "tune_regularization": in_blocks(TUNED, ["picked"], TUNE, tf=True),
     "discover_intents": clusters(),
+    "score_messages": in_blocks(MESSAGES, ["mgated"], SCORED),
+    "score_stream": in_blocks(MESSAGES, ["mgated"], SCORED),
 }

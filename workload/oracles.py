@@ -435,6 +435,11 @@ ORACLES: dict[str, str] = {
         from preds where y_true<>y_pred) join (select y_true, y_pred, count(*) as errors from preds where y_true<>y_pred group by 1, 2 order by 3 desc, 1, 2 limit 5)
         using (y_true, y_pred) where example<=2"""),
     "error_list": with_(["preds"], "select doc_id, text, y_true, y_pred from preds where y_true<>y_pred order by doc_id limit 100"),
+    "prepare_splits": with_(["inb", "roots"], f"""select tweet_id, clean_text, intent, conversation_id, case when r<=floor(n*0.7e0) then 'train'
+        when r<=floor(n*0.7e0)+floor(n*0.15e0) then 'validation' else 'test' end as split from (
+        select *, {label('clean_text')} as intent, dense_rank() over (order by md5('42:'||conversation_id), conversation_id) as r, (count(distinct conversation_id) over ()) as n from (
+        select i.tweet_id, {clean('text')} as clean_text, conversation_id from (select * from inb order by md5('42:'||tweet_id), tweet_id limit 20000) i join roots using (tweet_id))
+        where length(clean_text)>5)"""),
     "conversation_split": with_(["splits"], "select tweet_id, conversation_id, split from splits"),
     "reproducible_sample": with_(["uniq"], "select tweet_id, ingest_seq from uniq order by md5('42:'||tweet_id), tweet_id limit 500"),
     "escalation_gates": with_(["gated"], f"""select event_id, intent, decision, gate_triggered, case gate_triggered
