@@ -28,6 +28,19 @@ def test_csv_messages(spark, tmp_path):
     assert [r.tweet_id for r in table.orderBy("ingest_seq").collect()] == ["1", "2", "3", "4"]
 
 
+def test_order_of_many_files(spark, tmp_path):
+    """Three hundred files, several rows each: files by path, rows as they stand."""
+    want = []
+    for k in range(300):
+        rows = [f"{k}-{j}" for j in range(k % 4 + 1)]
+        (tmp_path / f"part-{k:05d}.csv").write_text("tweet_id,author_id,inbound,created_at,text,response_tweet_id,in_response_to_tweet_id\n"
+                                                    + "".join(f'{r},a,True,,"x\ny",,\n' for r in rows))
+        want += rows
+    loaded = load_messages(spark, str(tmp_path))
+    rows = loaded.orderBy("ingest_seq").collect()
+    assert [r.tweet_id for r in rows] == want and len({r.ingest_seq for r in rows}) == len(want)
+
+
 def test_annotation_files(spark, tmp_path):
     js = tmp_path / "a.json"
     js.write_text(json.dumps([{"id": 1, "text": "x", "gold_intent": ""}, {"id": 2, "text": "y", "gold_intent": "other"}]))

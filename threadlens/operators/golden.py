@@ -68,6 +68,16 @@ def golden_sample(test: DataFrame, *, target: int = GOLDEN_SIZE, per_intent: int
         F.when(F.col("id") <= double_label, "YES").otherwise("NO").alias("double_label"), blank.alias("notes"))
 
 
+def golden_set(test: DataFrame, *, target: int = GOLDEN_SIZE, per_intent: int = 25, seed: int = SEED) -> DataFrame:
+    """The labelling table with the columns of the evaluation module: at most per_intent // 4 rows a stratum, no second rater.
+
+    Its gold columns are those that ``golden_backfill`` fills.
+    """
+    blank = F.lit("")
+    return golden_sample(test, target=target, per_intent=per_intent, seed=seed).select(
+        "id", "tweet_id", "conversation_id", "text", "auto_intent", *[blank.alias(c) for c in ("gold_intent", "gold_reply_quality_label", "gold_escalation_label", "notes")])
+
+
 def double_label_subset(golden: DataFrame, n: int = DOUBLE_LABEL_N, order: str = "id") -> DataFrame:
     """First n rows with separate blank columns for two raters."""
     raters = [F.lit("").alias(f"human_{r}_{c}") for c in ("intent", "escalation", "notes") for r in ("a", "b")]

@@ -130,12 +130,11 @@ def topk_similar(queries: DataFrame, store: DataFrame, k: int = TOP_K, *, query_
 
 
 def _broadcast_candidates(q: DataFrame, s: DataFrame, k: int, schema: T.StructType) -> DataFrame:
-    table = q.toArrow()  # bounded by broadcast_bytes
-    shared = q.sparkSession.sparkContext.broadcast((_ids(table.column(0)), _matrix(table.column(1))))
+    table = q.toArrow()  # bounded by broadcast_bytes; Spark ships it with the function and drops it with the plan
+    qids, qm = _ids(table.column(0)), _matrix(table.column(1))
     arrow = to_arrow_schema(schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, qm = shared.value
         best = None
         for batch in batches:
             if not batch.num_rows or not len(qids):

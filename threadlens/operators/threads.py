@@ -118,17 +118,25 @@ def brand_inbound(messages: DataFrame, brand: str | None = None, *, dedup: bool
 
     ``dedup=False, outbound_only=False`` is the looser variant that neither drops
     repeated ids nor checks that the parent is outbound.
+
+    First occurrences are settled on ids and flags alone; texts are shuffled only of rows that can
+    qualify, to be met by the ids that do.  ``ingest_seq`` tells rows of one id apart.
     """
-    base = dedup_keep_first(messages) if dedup else messages
+    slim = messages.select("tweet_id", "author_id", "inbound", PARENT, "ingest_seq") if dedup else messages
+    base = dedup_keep_first(slim) if dedup else messages
     parents = base.where(F.col("tweet_id").isNotNull())
     if outbound_only:
         parents = parents.where(~F.col("inbound"))
     if brand is not None:
         parents = parents.where(F.col("author_id") == brand)
     ids = parents.select("tweet_id").distinct()
-    inbound = base.where(F.col("inbound") & F.col(PARENT).isNotNull())
-    return skew_lookup(inbound, ids.withColumn("__in", F.lit(True)), PARENT, "tweet_id",
-                       spread="tweet_id", how="inner", hot_rows=hot_rows).drop("__in")
+    answers = F.col("inbound") & F.col(PARENT).isNotNull()
+    found = skew_lookup(base.where(answers), ids.withColumn("__in", F.lit(True)), PARENT, "tweet_id",
+                        spread="tweet_id", how="inner", hot_rows=hot_rows).drop("__in")
+    if not dedup:
+        return found
+    first = found.select(F.col("tweet_id").alias("__id"), F.col("ingest_seq").alias("__seq"))
+    return messages.where(answers).join(first, F.col("tweet_id").eqNullSafe(F.col("__id")) & F.col("ingest_seq").eqNullSafe(F.col("__seq")), "left_semi")
 
 
 def conversation_proxy(messages: DataFrame) -> DataFrame:

@@ -427,6 +427,8 @@ ORACLES: dict[str, str] = {
         from (select *, quantile_cont(text_len, [0, 0.25, 0.5, 0.75, 1]) over (partition by intent) as e from (select *, {label('c')} as intent, length(c) as text_len
         from (select *, {clean('text')} as c from tweets)) where text_len>0)"""),
     "golden_sample": with_(["golden"], f"select {_GOLD} from golden"),
+    "golden_set": with_(["strata"], """select row_number() over (order by h, tweet_id) as id, tweet_id, conversation_id, clean_text as text, intent as auto_intent, '' as gold_intent,
+        '' as gold_reply_quality_label, '' as gold_escalation_label, '' as notes from (select * from strata where rn<=6 order by h, tweet_id limit 200)"""),
     "double_label_subset": with_(["golden"], """select id, clean_text as text, intent as auto_intent, '' as human_a_intent, '' as human_b_intent, '' as human_a_escalation,
         '' as human_b_escalation, '' as human_a_notes, '' as human_b_notes, '' as notes from golden order by id limit 50"""),
     "calibration_template": with_(["annotations"], "select row_no as id, text, auto_intent as intent, '' as generated_reply, '' as notes, " + ", ".join(

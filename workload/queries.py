@@ -489,6 +489,11 @@ def golden_sample(spark, sf):
     return golden_from(split_rows(spark, sf))
 
 
+@query
+def golden_set(spark, sf):
+    return golden.golden_set(split_rows(spark, sf).where("split = 'test'"))
+
+
 @query
 def double_label_subset(spark, sf):
     return golden.double_label_subset(golden_from(split_rows(spark, sf)))
