@@ -136,8 +136,8 @@ def test_decontamination_finds_planted_and_paraphrased(spark):
         rows.append((d, " ".join(w).upper() if d % 4 == 0 else " ".join(w)))
     rows += [(900, None), (901, ""), (902, "the of and in " * 5000)]
     bench = spark.createDataFrame([(k, " ".join(w), 1) for k, w in items.items()] + [(98, None, 1), (99, "...", 1), (None, "the of", 1)], "item_id long, text string, doc_id int")
-    for block in (512, 8):  # one latent space, and several
-        found = decontaminate.find_contamination(docs(spark, rows), bench, block_items=block)
+    for block, blocks in ((512, 8), (8, 3)):  # one latent space, and several in several rounds
+        found = decontaminate.find_contamination(docs(spark, rows), bench, block_passages=block, round_blocks=blocks)
         assert {(r.doc_id, r.item_id) for r in found.collect()} == want
     assert decontaminate.find_contamination(docs(spark, []), bench).count() == 0
     assert decontaminate.find_contamination(docs(spark, rows), bench.where("item_id < 0")).count() == 0
@@ -174,6 +174,35 @@ def test_decontamination_finds_quotes_at_every_offset(spark):
     assert {r.doc_id for r in found} == {i for i, _ in rows if i >= 1000} and {r.item_id for r in found} == {1}
 
 
+def test_decontamination_of_a_very_long_item_and_of_repeated_items(spark):
+    """300,000 distinct words in one item, and one short text under many ids, some of them repeated."""
+    whole = [f"v{k}" for k in range(300_000)]
+    short = [f"s{k}" for k in range(20)]
+    bench = [(1, " ".join(whole))] + [(100 + k % 40, " ".join(short)) for k in range(60)]
+    quotes = {10: whole[150_000:150_080], 11: whole[-60:], 12: whole[7:90], 13: short, 14: [f"n{k}" for k in range(90)]}
+    rows = [(d, " ".join(["before"] * 30 + w + ["after"] * 30)) for d, w in quotes.items()] + [(13, " ".join(short)), (None, " ".join(short))]
+    table = spark.createDataFrame(bench, "item_id long, text string")
+    found = decontaminate.find_contamination(docs(spark, rows), table, round_blocks=16).collect()
+    pairs = sorted(((r.doc_id, r.item_id) for r in found), key=repr)
+    assert pairs == sorted([(d, 1) for d in (10, 11, 12)] + [(d, 100 + k) for d in (13, None) for k in range(40)], key=repr)
+
+
+def test_words_cut_fast_are_those_of_the_expression():
+    rng = random.Random(12)
+    parts = ["Ab", "é", "ß", "_", "-", "'", "9", "²", "½", "日本", "İ", "\xa0", "…", "“", " ", "\n", "\x1c", "ﬁ", "\u0301", "🙂", "\x7f", "٣"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        assert [w.decode() for w in decontaminate.coded_words(text)] == decontaminate.words_of(text)
+
+
+def test_running_sums():
+    table = np.random.default_rng(1).integers(-9, 9, size=(50, 7)).astype(np.float32)
+    for n in (0, 1, 31, 32, 33, 200):
+        rows = np.random.default_rng(n).integers(0, 50, size=n)
+        want = np.concatenate([np.zeros((1, 7)), np.cumsum(table[rows], axis=0)])
+        assert np.array_equal(decontaminate.running_sums(table, rows)[:n + 1], want)
+
+
 def test_decontamination_answer_check(spark):
     base = [f"q{k}" for k in range(40)]
     bench = spark.createDataFrame([(1, " ".join(base), "q5 q6 q7")], "item_id long, text string, answer string")
