@@ -1,13 +1,17 @@
 """Operators over single documents: fertility, licenses, language ID, BPE and quality."""
 
 import hashlib
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from threadlens.llm import bpe, fertility, language_id, licenses, quality
@@ -75,6 +79,27 @@ def test_fertility_base_counts(spark, documents):
         assert not (r.base_failed and r.kept)
 
 
+def test_fertility_measures_by_plain_loops(spark):
+    """Characters per token, byte share and entropy of whole texts, word by word with the libraries themselves."""
+    import sentencepiece
+    import tiktoken
+    paths = {"piece": public_tokenizers.path("piece_bpe_32k.model"), "byte": public_tokenizers.path("byte_bpe_multi_50k.tiktoken")}
+    pieces = sentencepiece.SentencePieceProcessor(model_file=paths["piece"])
+    ranks = bpe.read_ranks(paths["byte"])
+    multi = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = ["plain words of a text, plain words", "日本語 テキスト ₿ x", "ñandú öß\tword\nline", "a", "word " * 60]
+    rows = {r.doc_id: r for r in fertility.fertility_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("lang", F.lit("en")),
+                                                           paths, public_tokenizers.PATTERN).collect()}
+    for k, text in enumerate(texts):
+        words = text.split()
+        for name, tokens, only_byte in (("piece", [i for w in words for i in pieces.encode(w)], pieces.is_byte),
+                                        ("byte", [i for w in words for i in multi.encode_ordinary(" " + w)], lambda i: not fertility.valid(multi.decode_single_token_bytes(i)))):
+            n, counts = len(tokens), Counter(tokens)
+            entropy = -sum(c / n * math.log2(c / n) for c in counts.values()) / math.log2(n) if n > 1 else 1.0
+            want = (sum(map(len, words)) / n, sum(map(only_byte, tokens)) / n, abs(entropy))
+            assert np.allclose([rows[k][f"{name}_{m}"] for m in ("chars_per_token", "byte_share", "entropy")], want, atol=1e-9), (text, name)
+
+
 def test_fertility_odd_rows_and_bands(spark):
     paths = {"piece": public_tokenizers.path(fertility.PIECES), "byte": RANKS}
     rows = by_id(fertility.fertility_rules(odd(spark), paths, public_tokenizers.PATTERN))
@@ -196,6 +221,42 @@ def test_language_held_out(spark):
     assert np.mean([r.lang_pred == langs[r.doc_id] for r in held]) > 0.95
 
 
+def test_language_network_by_plain_loops():
+    """Convolution, pooling and softmax of random weights, written out."""
+    network = language_id.ByteNetwork.fresh(["aa", "bb", "cc"], seed=5)
+    network.bias += np.random.default_rng(1).normal(0, 0.5, network.bias.shape).astype(np.float32)
+    network.offset += np.float32([0.1, -0.2, 0.3])
+    texts = ["Hello WORLD", "é" * 300, "x", "words and more words " * 60]
+    got = network.texts(texts)
+    for row, text in zip(got, texts):
+        data, total = text.encode().lower(), np.zeros(3)
+        for at in range(0, len(data), language_id.LENGTH):
+            window = data[at:at + language_id.LENGTH]
+            padded = window.ljust(language_id.LENGTH, b"\0")
+            pooled = [max(sum(float(network.tables[k][padded[p + k]][f]) for k in range(len(network.tables)) if p + k < len(padded)) for p in range(len(padded)))
+                      for f in range(len(network.bias))]
+            hidden = [max(0.0, v + float(b)) for v, b in zip(pooled, network.bias)]
+            z = [sum(h * float(network.weights[f][c]) for f, h in enumerate(hidden)) + float(network.offset[c]) for c in range(3)]
+            e = [math.exp(v - max(z)) for v in z]
+            total += np.array(e) / sum(e) * len(window)
+        assert np.allclose(row, total / total.sum(), atol=1e-5)
+
+
+def test_language_network_gradients_by_differences():
+    """One step of learning goes down the loss that plain differences show."""
+    rng = np.random.default_rng(2)
+    x = rng.integers(97, 103, size=(40, 24)).astype(np.uint8)
+    y = (x[:, 0] % 2).astype(np.int64)
+    network = language_id.ByteNetwork.fresh(["aa", "bb"], seed=3)
+
+    def loss():
+        return -np.log(network.predict(x)[np.arange(40), y]).mean()
+
+    before = loss()
+    network.learn(x, y, epochs=30)
+    assert loss() < 0.5 * before
+
+
 def test_language_odd_rows(spark):
     train = spark.createDataFrame([(k, w * 30, lang) for k, (w, lang) in enumerate([("the and ", "en"), ("der und ", "de")] * 20)]
                                   + [(99, "zzz", None), (98, None, "de")], "doc_id long, text string, lang string")
@@ -227,9 +288,65 @@ def test_quality_held_out(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
 
 
+def described(texts):
+    return quality.describe_all(texts, quality.Shingler(1))
+
+
+def test_quality_features_by_plain_loops():
+    rng = random.Random(9)
+    texts = [None, "", " \n", "a", "abcd", "Abcd abcd!", "é\u2003ü x", "one two one\n\none two # 12 ?!", "x" * 500]
+    texts += [" ".join(rng.choice(["the", "Über", "###", "12", "a|b", "lorem", "x" * 40]) + rng.choice(["", "\n", "!"]) for _ in range(rng.randint(1, 60))) for _ in range(60)]
+    got = described(texts)
+    width = len(quality.FEATURES)
+    shingler = quality.Shingler(1)
+    for row, text in zip(got, texts):
+        data = (text or "").encode()
+        words = re.findall(rb"[^\x20\x09-\x0D]+", data.lower())
+        runs = [data.lower()[k:k + 4] for k in range(len(data) - 3)]
+        for at, numbers in ((width, [int(shingler.words([w.decode()])[0][0]) for w in words]),
+                            (width + quality.BUCKETS, [int(quality.mix(np.array([int.from_bytes(r, "big")], dtype=np.uint64))[0]) for r in runs])):
+            counts = Counter(n % quality.BUCKETS for n in numbers)
+            want = [(counts[b] / len(numbers)) ** 0.5 if numbers else 0.0 for b in range(quality.BUCKETS)]
+            assert np.allclose(row[at:at + quality.BUCKETS], want, atol=1e-6)
+        split = (text or "").split()
+        if not split:
+            assert row[:width].tolist() == [0.0] * (width - 1) + [1.0]
+            continue
+        seen = len(data) - sum(data.count(c) for c in b" \t\n\v\f\r")
+        lines = [x for x in text.split("\n") if x]
+        letters = sum(65 <= c < 91 or 97 <= c < 123 for c in data)
+        want = {"symbols": sum(c in b"#*$%&|<>{}[]=+~^\\@_/" for c in data) / seen, "marks": sum(c in b"!?" for c in data) / seen,
+                "upper": sum(65 <= c < 91 for c in data) / max(1, letters), "digits": sum(48 <= c < 58 for c in data) / seen,
+                "repeated_next": sum(a == b for a, b in zip(split, split[1:])) / len(split), "distinct_share": (len(set(split)) / len(split)) ** 0.5 if len(split) >= 20 else 1.0,
+                "long_words": sum(len(w) > 30 for w in split) / len(split), "short_lines": sum(len(x) < 12 for x in lines) / len(lines),
+                "repeated_lines": 1 - len(set(lines)) / len(lines), "letters": (letters + sum(c >= 128 for c in data)) / seen,
+                "word_length": min(1.0, seen / len(split) / 20), "is_empty": 0.0}
+        assert np.allclose(row[:width], [want[f] for f in quality.FEATURES], atol=1e-6), text
+
+
+def test_quality_fit_is_the_pairwise_optimum():
+    """At the weights, the loss of the same pairs written as plain sums is flat, and pairs are ranked by it."""
+    rng = np.random.default_rng(3)
+    good, bad = rng.normal(0.3, 1, (40, 15)), rng.normal(-0.3, 1, (30, 15))
+    w = quality.fit_weights(good, bad, 500, 7)
+    draw = np.random.default_rng(7)
+    a, b = draw.integers(0, 40, 500), draw.integers(0, 30, 500)
+
+    def loss(w):
+        ridge = sum((quality.RIDGE if k < len(quality.FEATURES) else quality.HASHED_RIDGE) * x * x / 2 for k, x in enumerate(w))
+        return sum(math.log1p(math.exp(-sum(x * (p - q) for x, p, q in zip(w, good[i], bad[j])))) for i, j in zip(a.tolist(), b.tolist())) / 500 + ridge
+
+    base = loss(w.tolist())
+    for k in range(15):
+        for move in (1e-2, -1e-2):
+            moved = w.copy()
+            moved[k] += move
+            assert loss(moved.tolist()) >= base
+
+
 def test_quality_pairs_and_odd_rows(spark):
-    good = np.array([quality.describe(f"plain words number {k} in a calm line of text") for k in range(30)])
-    bad = np.array([quality.describe(f"###$$$ {k} !!! *** %%%") for k in range(30)])
+    good = described([f"plain words number {k} in a calm line of text" for k in range(30)])
+    bad = described([f"###$$$ {k} !!! *** %%%" for k in range(30)])
     ranker = quality.fit_pairs(good, bad)
     assert (ranker.score(good) >= 0.5).all() and (ranker.score(bad) < 0.5).all()
     table = odd(spark)
