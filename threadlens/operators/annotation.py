@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from threadlens.functions.text import strip
 from threadlens.plans.skew import HOT_ROWS, skew_lookup
-from threadlens.sources.scratch import materialize
 
 # Accepted spellings of the escalation answer.
 ESCALATION_ALIASES = {"YES": "YES", "NO": "NO", "Y": "YES", "N": "NO", "AUTO_HANDLE": "AUTO_HANDLE",
@@ -66,12 +65,12 @@ def validate_annotations(rows: DataFrame, intents: DataFrame, *, row_no: str = "
 
     # Per id: its first valid row, which owns the id, and that row's tweet_id.  Both
     # aggregates combine map-side, so a much repeated id costs one row per task.
-    owners = materialize(
-        out.where(F.col("error").isNull()).groupBy(F.col("id").alias("__id")).agg(
-            F.min(row_no).alias("__first"), F.count(F.lit(1)).alias("__n"),
-            F.min_by(F.when(F.col("tweet_id") != "", F.col("tweet_id")), row_no).alias("__tid")), "owners")
+    owners = out.where(F.col("error").isNull()).groupBy(F.col("id").alias("__id")).agg(
+        F.min(row_no).alias("__first"), F.count(F.lit(1)).alias("__n"),
+        F.min_by(F.when(F.col("tweet_id") != "", F.col("tweet_id")), row_no).alias("__tid"))
     claims = owners.where(F.col("__tid").isNotNull()).groupBy(F.col("__tid").alias("__k")).agg(F.min("__first").alias("__claimed"))
-    judged = skew_lookup(owners, claims, "__tid", "__k", spread="__id", hot_rows=hot_rows)
+    # one row an id on the left; Spark splits the partition of a much claimed tweet_id by itself
+    judged = owners.join(claims, F.col("__tid") == F.col("__k"), "left").drop("__k")
     # only ids with something wrong are looked up from the rows
     late = F.coalesce(F.col("__first") > F.col("__claimed"), F.lit(False))
     suspects = judged.where((F.col("__n") > 1) | late).select(F.col("__id").alias("__k"), "__first", late.alias("__late"))

@@ -24,8 +24,8 @@ def length_quartiles(rows: DataFrame, *, text: str = "clean_text", group: str =
     edges = sized.groupBy(F.col(group).alias("__g")).agg(
         F.percentile("text_len", F.array(*[F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)])).alias("__e"))
     inner = F.filter(F.array_distinct("__e"), lambda e, i: (i > 0) & (e < F.col("text_len")))
-    # one row per intent label
-    return sized.join(F.broadcast(edges), F.col(group).eqNullSafe(F.col("__g"))) \
+    # one row per intent label; Spark sees its size and broadcasts it by itself
+    return sized.join(edges, F.col(group).eqNullSafe(F.col("__g"))) \
         .withColumn("len_quartile", F.size(inner)).drop("__g", "__e")
 
 

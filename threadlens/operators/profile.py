@@ -6,24 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.numeric import half_even
-from threadlens.plans.skew import HOT_ROWS, skew_lookup
 
 
-def dataset_summary(messages: DataFrame, order: str = "ingest_seq", *,
-                    hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def dataset_summary(messages: DataFrame, order: str = "ingest_seq") -> DataFrame:
     """One row with the 16 measures.
 
-    Distinct counts are separate sub-aggregates, read as scalars, so that no Expand
-    multiplies the rows.  Exact duplicate rows can only occur among repeated ids, so
-    whole rows are compared for those ids alone.
+    Three scans: the measures of all rows, the authors, and one digest per row.  Rows are counted by (id, digest)
+    and those counts by id, so copies of rows and of ids both follow from one shuffle of digests.
     """
     data_cols = [c for c in messages.columns if c != order]
-    rid = F.coalesce("tweet_id", F.lit("\u0000"))  # null ids count as copies of each other
-    per_id = messages.groupBy(rid.alias("__k")).agg(F.count(F.lit(1)).alias("n"))
-    repeated = per_id.where("n > 1").select("__k", F.lit(True).alias("__in"))
-    copies = (skew_lookup(messages.withColumn("__rid", rid), repeated, "__rid", "__k", spread=order, how="inner",
-                          hot_rows=hot_rows)
-              .groupBy(*data_cols).agg((F.count(F.lit(1)) - 1).alias("extra")))
+    rid = F.coalesce(F.concat(F.lit("="), F.col("tweet_id").cast("string")), F.lit(""))  # null ids count as copies of each other
+    digest = F.md5(F.to_json(F.struct(*data_cols)).cast("binary"))
+    per_row = messages.groupBy(rid.alias("id"), digest.alias("row")).agg(F.count(F.lit(1)).alias("n"))
+    per_id = per_row.groupBy("id").agg(F.sum("n").alias("n"), F.sum(F.col("n") - 1).alias("extra"))
+    repeats = per_id.agg(F.struct(F.coalesce(F.sum("extra"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("ids")))
     length = F.length("text")
     # exact percentiles: the buffer is one counter per distinct text length
     base = messages.agg(
@@ -40,12 +36,8 @@ def dataset_summary(messages: DataFrame, order: str = "ingest_seq", *,
         half_even(F.percentile(length, 0.95), 1).alias("text_len_p95"),
     )
     authors = messages.where(F.col("author_id").isNotNull()).select("author_id").distinct().agg(F.count(F.lit(1)))
-    return base.select(
-        "*",
-        copies.agg(F.coalesce(F.sum("extra"), F.lit(0))).scalar().alias("duplicate_rows"),
-        per_id.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).scalar().alias("duplicate_tweet_ids"),
-        authors.scalar().alias("unique_authors"),
-    )
+    return base.withColumn("__r", repeats.scalar()).select(
+        *base.columns, F.col("__r.rows").alias("duplicate_rows"), F.col("__r.ids").alias("duplicate_tweet_ids"), authors.scalar().alias("unique_authors"))
 
 
 def length_histogram(messages: DataFrame, bins: int = 60, clip: int = 300) -> DataFrame:
