@@ -304,7 +304,7 @@ def test_quality_features_by_plain_loops():
         words = re.findall(rb"[^\x20\x09-\x0D]+", data.lower())
         runs = [data.lower()[k:k + 4] for k in range(len(data) - 3)]
         for at, numbers in ((width, [int(shingler.words([w.decode()])[0][0]) for w in words]),
-                            (width + quality.BUCKETS, [int(quality.mix(np.array([int.from_bytes(r, "big")], dtype=np.uint64))[0]) for r in runs])):
+                            (width + quality.BUCKETS, [int.from_bytes(r, "big") * 0x9E3779B1 % 2 ** 32 >> 24 for r in runs])):
             counts = Counter(n % quality.BUCKETS for n in numbers)
             want = [(counts[b] / len(numbers)) ** 0.5 if numbers else 0.0 for b in range(quality.BUCKETS)]
             assert np.allclose(row[at:at + quality.BUCKETS], want, atol=1e-6)

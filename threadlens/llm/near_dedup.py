@@ -41,6 +41,7 @@ MISSED, MOST_MINIMA = 1e-5, 400
 DEVIATIONS = 4.5
 BLOCK = 512            # documents of one side of a cell
 SLICE = 1 << 20        # bytes of text hashed at once
+HASHED = 1 << 18       # bytes of text whose words are hashed at once
 SEED = 20_011
 
 SPACE = np.isin(np.arange(256), [0x20, 9, 10, 11, 12, 13])
@@ -70,6 +71,16 @@ class Shingler:
     def words(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(word hashes of all texts, position of every text's first word with the total at the end)."""
         raw = [(t or "").encode() for t in texts]
+        found, firsts, total, start, size = [], [np.zeros(1, np.int64)], 0, 0, 0
+        for k, r in enumerate(raw, 1):  # few bytes at once: every one of them takes several numbers of eight
+            size += len(r)
+            if size >= HASHED or k == len(raw):
+                hashes, places = self.hash_words(raw[start:k])
+                found.append(hashes), firsts.append(places[1:] + total)
+                total, start, size = total + len(hashes), k, 0
+        return np.concatenate([*found, np.empty(0, np.uint64)]), np.concatenate(firsts)
+
+    def hash_words(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         data = np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)
         inside = np.concatenate([[False], ~SPACE[data]])
         edges = np.flatnonzero(inside[1:] != inside[:-1])
