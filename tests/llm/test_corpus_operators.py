@@ -250,6 +250,23 @@ def test_rollup_compacted_again_and_again(spark, tmp_path):
         rollup.apply("compacted-x", token_counts.signed(rows, 1, "n", "v"))
 
 
+def test_counts_of_odd_texts_and_clashing_columns(spark, tmp_path):
+    """Null, empty and very long texts, repeated rows, and columns named like those of the deltas."""
+    import tiktoken
+    from threadlens.llm.bpe import read_ranks
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(path), special_tokens={})
+    texts = [None, "", "two words", "two words", "long text " * 100_000, "é" * 50_000]
+    rows = spark.createDataFrame([(k, "s", None, t, 7, 8, "b", "a") for k, t in enumerate(texts)],
+                                 "doc_id long, source string, lang string, text string, n_docs long, n_tokens long, batch_id string, attempt string")
+    counted = rows.withColumn("n", token_counts.count_tokens(F.col("text"), path, public_tokenizers.PATTERN))
+    want = [len(own.encode_ordinary(t)) if t else 0 for t in texts]
+    assert [r.n for r in counted.orderBy("doc_id").collect()] == want
+    rollup = token_counts.Rollup(spark, str(tmp_path / "r"))
+    rollup.apply("x", token_counts.signed(counted, 1, "n", "v"))
+    assert [tuple(r) for r in rollup.totals().select("source", "lang", "n_docs", "n_tokens").collect()] == [("s", None, 6, sum(want))]
+
+
 def test_rollup_query_equals_recount(spark):
     import zlib
     models = {p: token_counts.counter(public_tokenizers.path(p), public_tokenizers.PATTERN) for p in (queries.BYTE_ONE, queries.BYTE_MULTI)}

@@ -10,7 +10,9 @@ The network learns from a bounded sample of labelled rows (``LEARN_DOCS`` per la
 windows per language, both by hash order) and is a few hundred kB, sent to tasks in the function's closure.
 
 Null texts and texts without a letter are ``und`` with score 1.  Rows with a null language are not learned
-from.  Ties between languages go to the first in alphabetical order.
+from.  Ties between languages go to the first in alphabetical order.  Labels of more than ``MAX_LANGUAGES`` languages end
+the job with an error, as the sample would no longer be bounded.  Very long texts are read whole; repeated rows each;
+other columns are kept.
 """
 
 from __future__ import annotations
