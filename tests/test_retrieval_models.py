@@ -77,6 +77,59 @@ def test_tile_parts_and_cells_of_many_queries(spark, monkeypatch):
         vector_index.search_tiles(frame(spark, m, "q"), index, 7, query_id="id")
 
 
+def spread(n, dim=12, seed=9):
+    return np.random.default_rng(seed).normal(size=(n, dim))
+
+
+def test_small_tiles_give_no_more_candidates(spark, monkeypatch):
+    """Vectors without clusters visit nearly all tiles; a cell still gives k rows a query, and a query travels once a zone."""
+    seen, cells = [], vector_index.cell_candidates
+
+    def watched(visits, rows, *rest):
+        found = cells(visits, rows, *rest)
+        seen.append((visits.count(), rows.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(vector_index, "cell_candidates", watched)
+    m = spread(300)
+    got = retrieval.topk_similar(frame(spark, m, "q"), frame(spark, m), 5, query_id="id", store_id="id", plan="tiled", tile_rows=4)
+    assert {tuple(r)[:3] for r in got.collect()} == exact(m, m, 5)
+    assert len(seen) == 2 and all(v <= 300 and r <= 300 and c <= 5 * 300 for v, r, c in seen)
+
+
+def test_zones_hold_every_tile():
+    limit = vector_index.ZONE_ROWS
+    sizes = np.array([limit // 2, limit // 2, 1, 0, 3 * limit + 1, limit, 5])
+    assert vector_index.zones_of(sizes) == [(0, 2), (2, 4), *[(4, 5)] * 4, (5, 6), (6, 7)]
+    assert vector_index.zones_of(np.zeros(3, dtype=int)) == [(0, 3)]
+
+
+def test_scans_in_place_trim_over_tiles(spark, monkeypatch):
+    seen, scan = [], vector_index.scan_in_place
+    monkeypatch.setattr(vector_index, "scan_in_place", lambda *a: (seen.append(scan(*a).count()), scan(*a))[1])
+    m = spread(300)
+    index = vector_index.build_tile_index(frame(spark, m), store_id="id", tile_rows=4)
+    got = vector_index.search_tiles(frame(spark, m[:20], "q"), index, 5, query_id="id", in_place=True)
+    assert {tuple(r)[:3] for r in got.collect()} == exact(m, m[:20], 5)
+    assert sum(seen) <= 5 * 20 * 20 < 5 * 20 * len(index.tiles.centres)
+
+
+def test_probes_of_one_group_travel_together(spark, monkeypatch):
+    """Floats stay floats, a query travels once a table and group, and each group gives k rows a query."""
+    seen, cells = [], vector_index.cell_candidates
+
+    def watched(visits, rows, *rest):
+        found = cells(visits, rows, *rest)
+        seen.append((visits.count(), found.count(), visits.schema["q"].dataType.simpleString(), rows.schema["v"].dataType.simpleString()))
+        return found
+
+    monkeypatch.setattr(vector_index, "cell_candidates", watched)
+    m = spread(400)
+    vector_index.ann_topk(frame(spark, m[:40], "q"), frame(spark, m), 5, query_id="id", store_id="id").collect()
+    visits, found, *kinds = seen[0]
+    assert kinds == ["array<float>"] * 2 and visits <= 40 * 12 * 4 and found <= 5 * visits
+
+
 def test_index_of_nothing_and_of_zero_vectors(spark):
     none = frame(spark, np.ones((1, 4))).where("false")
     some = frame(spark, np.array([[0.0] * 4, [1.0, 0, 0, 0], [0.0] * 4]), "q")
