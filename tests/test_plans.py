@@ -76,3 +76,9 @@ def test_no_query_joins_everything_with_everything(spark, name):
     """Joins without a key occur only against one broadcast row."""
     text = plan(registered.Q[name](spark, SF), "simple")
     assert "CartesianProduct" not in text and "BatchEvalPython" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_judge_prompts_move_what_they_show(spark):
+    """Examples are cut to the characters shown before they are joined to the messages."""
+    evidence = registered.prompt_rows(spark, SF, shown=20).select(F.explode("evidence").alias("e")).agg(F.max(F.length("e.customer_text"))).first()[0]
+    assert evidence == 20

@@ -341,3 +341,42 @@ def test_tfidf_shuffles_no_text(spark):
         shuffles = [part for part in plan.split("\n\n") if ") Exchange" in part.split("\n")[0]]
         assert shuffles and not any("text#" in part for part in shuffles)
         assert "Python" not in plan
+
+
+def test_vocabulary_of_frequent_phrases_is_the_counted_one(spark):
+    """Phrases are counted among frequent words only once a floor is known; repeated and null keys merge as ever."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.5, size=30) if x < 60) for _ in range(80)] + ["", None, "alone", "aa aa aa aa"]
+    docs = materialize(spark.createDataFrame([(k if k % 9 else None, t) for k, t in enumerate(texts)], "doc_id int, text string"), "docs")
+    for spec in (features.TfidfSpec(max_features=8), features.TfidfSpec(min_df=5, max_df=0.6, max_features=20, max_n=3, stop_words=("w1",)), features.TfidfSpec()):
+        n, kept = len(texts), []
+        for r in features.term_totals(docs, spec).collect():
+            if spec.min_df <= r.df <= n * spec.max_df:
+                kept.append((-r.cf, r.term, r.df))
+        want = {(t, df, -cf) for cf, t, df in sorted(kept)[:spec.max_features]}
+        assert {(r.term, r.df, r.cf) for r in features.tfidf_vocabulary(docs, spec).collect()} == want
+    counted = {}
+    for t in texts:
+        words = [w for w in (t or "").split() if len(w) > 1]
+        for g in set(words) | set(map(" ".join, zip(words, words[1:]))):
+            counted.setdefault(g, [0, 0])[0] += 1
+        for g in words + list(map(" ".join, zip(words, words[1:]))):
+            counted[g][1] += 1
+    assert {r.term: [r.df, r.cf] for r in features.term_totals(docs).collect()} == counted
+    floors = features._floor(features.term_totals(docs, features.TfidfSpec(max_n=1)), features.TfidfSpec(max_features=8))
+    assert floors > 1 and all("Expand" not in p and p.count("regexp_extract_all") <= 1 for p in
+                              [features.gram_lists(docs, features.CLASSIFIER, "text")._jdf.queryExecution().optimizedPlan().toString()])
+
+
+def test_weights_shuffle_one_row_a_document(spark, train):
+    """Terms are counted in the row: what is shuffled is an array per document, and clusters meet it without a sort of long rows."""
+    docs = train.select(F.col("tweet_id").alias("doc_id"), F.col("clean_text").alias("text"))
+    vocab = features.tfidf_vocabulary(docs)
+    weights = features.tfidf_weights(docs, vocab)
+    plan = features.cluster_terms(weights, docs.withColumn("cluster_id", F.lit(1)))._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin [doc_id" not in plan
+    twice = features.tfidf_weights(docs.unionByName(docs), vocab).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w"))
+    once = weights.groupBy("doc_id", "term").agg(F.sum("weight").alias("v"))
+    rows = twice.join(once, ["doc_id", "term"]).collect()
+    assert rows and all(r.n == 2 and abs(r.w - r.v * 2 ** 0.5) < 1e-12 for r in rows)

@@ -288,7 +288,7 @@ def lloyd_round(vectors: DataFrame, centres: np.ndarray, k: int) -> tuple[np.nda
                 for r in range(n // k):
                     owner = r * k + cluster[:, r]
                     counts += np.bincount(owner, minlength=n)
-                    np.add.at(sums, (owner[rows], features), x)
+                    sums += np.bincount(owner[rows] * size + features, weights=x, minlength=n * size).reshape(n, size)
         c, f = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays([
             pa.array(np.concatenate([c, np.arange(n), np.arange(n // k)]), pa.int32()), pa.array(np.concatenate([f, np.full(n, -1), np.full(n // k, -2)]), pa.int32()),
