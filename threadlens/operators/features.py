@@ -61,10 +61,9 @@ def sorted_places(lists: DataFrame, values: str) -> DataFrame:
     A value that differs from the one before is the first of its kind in the list, so one pass counts places and lists.
     """
     s = F.col("s")
-    sorted_lists = lists.select(F.sort_array(values).alias("s")).where(F.size("s") > 0)
-    before = F.slice(s, 1, F.size(s) - 1)
-    return sorted_lists.select("s", before.alias("b")).select(
-        F.inline(F.arrays_zip(s, F.concat(F.array_repeat(F.lit(None).cast(sorted_lists.schema["s"].dataType.elementType), 1), F.col("b")))).alias("x", "p"))
+    lists = lists.select(F.sort_array(values).alias("s"))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0))))
+    return lists.select(F.inline(F.arrays_zip(s, before)).alias("x", "p")).where(F.col("x").isNotNull())
 
 
 def term_totals(docs: DataFrame, spec: TfidfSpec = CLASSIFIER, *, text: str = "text") -> DataFrame:
@@ -116,19 +115,17 @@ def _frequent_phrases(docs: DataFrame, spec: TfidfSpec, text: str, words: DataFr
     places; the others are counted in full.
     """
     words = materialize(words, "frequent-words")
-    lists, found = token_lists(docs, spec, text).where(F.size("t") > 1), None
+    lists, found = token_lists(docs, spec, text), None
     for n in range(2, spec.max_n + 1):
-        size = F.greatest(F.size("t") - (n - 1), F.lit(0))
-        shifted = lists.select(*[F.slice("t", k + 1, size).alias(f"w{k}") for k in range(n)])
-        places = sorted_places(shifted.select(F.arrays_zip(*[f"w{k}" for k in range(n)]).alias("z")), "z")
-        first = F.col("p").isNull() | (F.col("x") != F.col("p"))
-        rows = places.select(*[F.col(f"x.w{k}").alias(f"w{k}") for k in range(n)], F.when(first, 1).otherwise(0).alias("d"))
-        for k in range(n):
-            rows = rows.join(words.select(F.col("term").alias(f"w{k}")), f"w{k}", "left_semi")
-        some = rows.groupBy(*[f"w{k}" for k in range(n)]).agg(F.sum("d").alias("df"), F.count(F.lit(1)).alias("cf")).where(F.col("cf") >= floor) \
-            .select(F.concat_ws(" ", *[f"w{k}" for k in range(n)]).alias("term"), "df", "cf")
+        size, names = F.greatest(F.size("t") - (n - 1), F.lit(0)), [f"w{k}" for k in range(n)]
+        rows = lists.select(F.inline(F.arrays_zip(*[F.slice("t", k + 1, size) for k in range(n)])).alias(*names))
+        for name in names:
+            rows = rows.join(words.select(F.col("term").alias(name)), name, "left_semi")
+        some = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("cf")).where(F.col("cf") >= floor).select(F.concat_ws(" ", *names).alias("term"), "cf")
         found = some if found is None else found.unionByName(some)
-    return found
+    found = materialize(found, "frequent-phrases")
+    held = gram_lists(docs, spec, text).select(F.explode(F.array_distinct("g")).alias("term")).join(found.select("term"), "term", "left_semi")
+    return held.groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(found, "term").select("term", "df", "cf")
 
 
 def term_vectors(docs: DataFrame, vocab: DataFrame, spec: TfidfSpec, key: str, text: str) -> DataFrame:
