@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from threadlens.llm import bpe, fertility, language_id, licenses, quality
+from threadlens.llm.common import values_at
 from threadlens.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -279,6 +280,33 @@ def test_language_windows_cover_whole_texts():
     assert np.allclose(conv[0, 10], want, atol=1e-5)
 
 
+def test_fertility_bands_are_learned_from_every_good_document(spark):
+    """1,300 good documents of one language and 40 of a script: medians and ends as over all of them in one array."""
+    rng = random.Random(4)
+    words = ["".join(rng.choices("aeioustrnéß漢", k=rng.randint(1, 9))) for _ in range(3000)]
+    rows = [(k, " ".join(rng.choices(words, k=rng.randint(50, 90))), "en") for k in range(1300)]
+    rows += [(5000 + k, " ".join("".join(rng.choices("приветмрдом", k=5)) for _ in range(60)), None) for k in range(40)] + [(6000, "the " * 400, "en"), (6001, "### " * 20, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], 1) for r in rows] + [(7, 0), (None, 1)], "doc_id long, quality int")
+    paths = {"piece": public_tokenizers.path(fertility.PIECES), "byte": RANKS}
+    measures = fertility.measure_documents(docs, paths, public_tokenizers.PATTERN)
+    got, found = fertility.fit_bands(measures, labels, paths), measures.where("not base_failed and id not in (7, 6000)").collect()
+    parts = fertility.parts_of(paths)
+    for name, low, high in (("en", 0, 5000), ("Cyrillic", 5000, 6000)):
+        own = [r for r in found if low <= r.id < high]
+        values, n_words = np.array([[r[c] for c in parts] for r in own]), np.array([r.n_words for r in own])
+        assert len(own) > 20 and list(got[name]) == [fertility.learn_band(values[:, k:k + 3].copy(), n_words) for k in (0, 3)]
+    assert got.keys() == {"en", "Cyrillic"} and len([r for r in found if r.id < 5000]) > 1200
+
+
+def test_values_at_places_of_the_order(spark):
+    rng = random.Random(5)
+    groups = {"a": [rng.gauss(0, 1) for _ in range(3000)], "b": [0.0] * 500 + [1e-300, 5.0], "c": [7.0]}
+    rows = spark.createDataFrame([(g, v) for g, values in groups.items() for v in values], "key string, value double")
+    want = {g: [0, len(v) // 2, len(v) - 1] for g, v in groups.items()}
+    assert values_at(rows, want) == {(g, r): sorted(groups[g])[r] for g, some in want.items() for r in some}
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}

@@ -17,9 +17,9 @@ BYTE_JSON = "byte_bpe_50k.json"
 
 def op1_tokenizer_fertility(spark: SparkSession, sf: str) -> DataFrame:
     paths = {"piece": public_tokenizers.path(PIECES), "byte": public_tokenizers.path(BYTE_MULTI)}
-    docs = table(spark, sf, "documents")
-    learned = fertility.fit_bands(docs, table(spark, sf, "labels").where(fold() != 1), paths, public_tokenizers.PATTERN)
-    return fertility.fertility_rules(docs, paths, public_tokenizers.PATTERN, learned=learned)
+    measures = materialize(fertility.measure_documents(table(spark, sf, "documents"), paths, public_tokenizers.PATTERN), "measures")
+    learned = fertility.fit_bands(measures, table(spark, sf, "labels").where(fold() != 1), paths)
+    return fertility.judge_documents(measures, paths, learned)
 
 
 def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
