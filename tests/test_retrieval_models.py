@@ -380,3 +380,22 @@ def test_weights_shuffle_one_row_a_document(spark, train):
     once = weights.groupBy("doc_id", "term").agg(F.sum("weight").alias("v"))
     rows = twice.join(once, ["doc_id", "term"]).collect()
     assert rows and all(r.n == 2 and abs(r.w - r.v * 2 ** 0.5) < 1e-12 for r in rows)
+
+
+def test_shared_evidence_equals_evidence_per_query_and_moves_texts_once_a_share(spark):
+    """Copies in the store, a query with no match left, and groups of queries that share most of their examples."""
+    found = [(q, q // 4, r, (q // 4 * 4 + r) % 20, 1.0 - r / 10) for q in range(16) for r in range(1, 6)] + [(99, 99, 1, 500, 0.5)]
+    top = spark.createDataFrame([(s, q, r, i, x) for q, s, r, i, x in found], "share long, query_id long, rank int, store_id long, similarity double")
+    store = spark.createDataFrame([(i, f"case {i}", f"reply {i}", None) for i in range(20)] + [(3, "case 3", "reply 3", None)],
+                                  "sid long, customer_text string, brand_text string, conversation_id string")
+    want = retrieval.attach_evidence(top.drop("share"), store, store_id="sid", hot_rows=None)
+    packed = retrieval.shared_evidence(top, store, store_id="sid", hot_rows=None)
+    got = retrieval.own_evidence(top.select("share", "query_id").distinct().join(packed, "share"), "query_id").select(*want.columns)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() == 16
+    assert max(r[0] for r in packed.select(F.size(F.array_distinct(F.transform("examples", lambda e: e["store_id"])))).collect()) == 5
+    assert packed.count() == 4
+
+
+def test_prompts_read_no_text_for_the_search(spark):
+    from workload import fixtures
+    assert fixtures.case_vectors(spark, "/root/testdata/sf0.001").columns == ["e", "vec_id", "share", "embedding"]
