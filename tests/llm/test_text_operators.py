@@ -372,6 +372,23 @@ def test_quality_fit_is_the_pairwise_optimum():
             assert loss(moved.tolist()) >= base
 
 
+def test_quality_is_learned_from_all_pairs_of_all_rows(spark):
+    """At the weights, the loss over every pair of a good and a bad row, written out in full, is flat; no pair is drawn."""
+    rng = random.Random(6)
+    rows = [(k, " ".join(rng.choices(["calm", "rain", "of", "the", "###", "!!", "X1"], weights=[9, 9, 9, 9, w, w, w], k=40)), y)
+            for k in range(130) for y, w in (((1, 1) if k % 2 else (0, 5)),)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [rows[0][:2], (None, "no id")], "doc_id long, text string")
+    ranker = quality.fit(docs, spark.createDataFrame([(r[0], r[2]) for r in rows] + [(500, 1), (None, 0)], "doc_id long, quality int"))
+    good, bad = (described([r[1] for r in rows if r[2] == y]).astype(float) for y in (1, 0))
+    both = np.concatenate([good, bad])
+    assert np.allclose(ranker.mean, both.mean(axis=0), atol=1e-6) and np.allclose(ranker.scale, both.std(axis=0) + 1e-2, atol=1e-5)
+    good, bad = (np.clip((x - ranker.mean) / ranker.scale, -8, 8) for x in (good, bad))
+    gaps = (good[:, None, :] - bad[None, :, :]).reshape(-1, good.shape[1])
+    ridge = np.where(np.arange(good.shape[1]) < len(quality.FEATURES), quality.RIDGE, quality.HASHED_RIDGE)
+    slope = ridge * ranker.weights - gaps.T @ quality.logistic(-(gaps @ ranker.weights)) / len(gaps)
+    assert np.abs(slope).max() < 1e-4 and np.abs(ranker.weights).max() > 0.1
+
+
 def test_quality_pairs_and_odd_rows(spark):
     good = described([f"plain words number {k} in a calm line of text" for k in range(30)])
     bad = described([f"###$$$ {k} !!! *** %%%" for k in range(30)])

@@ -2,15 +2,17 @@
 
 Preference pairs (a document of label 1 is preferred to one of label 0) give a linear score: the probability
 that a is preferred is the logistic of the score difference, so weights are fitted by logistic loss on
-*feature differences*.  Documents are then accepted above a quantile of the scores: the cut lies half-way
-between the low quantile of preferred and the high quantile of rejected training documents, or at the former
+*feature differences*, over all pairs of all labelled documents.  Documents are then accepted above a quantile of the scores: the cut
+lies half-way between the low quantile of preferred and the high quantile of rejected training documents, or at the former
 where they overlap.  ``score`` is the logistic of the distance to the cut, so 0.5 is the cut.
 
 A text has surface features (``FEATURES``, from byte histograms and word counts) and hashed ones: the shares of its words
 in ``BUCKETS`` buckets and of its runs of four bytes in as many, so that a score also sees which words occur and how
 they are spelled.  Shares enter by their square root, all features standardised; hashed ones carry a stronger penalty.
-The fit uses at most ``PER_CLASS`` rows of each label, first in hash order, and ``PAIRS`` random pairs of them.  The
-quantiles of the cut are taken from scores of rows by a fit on the other half of the rows.
+The fit takes Newton steps over a written table of features.  The pull of all pairs on a row depends on its score and on how the
+other label's scores are spread, so a step counts scores in ``CELLS`` cells and then sums rows up; its work grows with the rows,
+not with the pairs.  The quantiles of the cut are exact, of the scores of all rows by a fit on the other half of the rows.
+``fit_pairs`` is the same fit on arrays, with ``PAIRS`` random pairs; ``training_rows`` are a few rows for it.  No query uses them.
 
 Null and empty texts have all features 0 but ``is_empty``, and get score 0.  Rows without a label, and ids with
 contradicting labels, are not learned from; of rows that repeat an id one is.  Repeated rows are scored each.
@@ -18,6 +20,7 @@ contradicting labels, are not learned from; of rows that repeat an id one is.  R
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,8 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadlens.llm.common import first_rows, slices
+from threadlens.llm.common import first_rows, slices, values_at
 from threadlens.llm.near_dedup import Shingler
+from threadlens.sources.scratch import materialize
 
 FEATURES = ["symbols", "marks", "upper", "digits", "repeated_next", "distinct_share", "long_words", "short_lines",
             "repeated_lines", "letters", "word_length", "is_empty"]
@@ -36,6 +40,9 @@ LOW_QUANTILE, HIGH_QUANTILE = 0.002, 0.98
 BUCKETS = 256          # of words, and of runs of four bytes
 SLICE = 1 << 18        # bytes of text described at once
 RIDGE, HASHED_RIDGE, STEPS = 1e-3, 1e-1, 60
+FITS, CELLS, COARSE, STILL = 3, 4096, 64, 1e-4  # all rows and each half of them; cells of scores, of sums; largest move that ends the steps
+REACH = 40.0           # scores beyond it count as that far: no chance of a pair changes there
+PARTS = 64             # tasks of a pass at most, each of which hands over one packed matrix a fit
 WIDTH = len(FEATURES) + 2 * BUCKETS
 EMPTY = FEATURES.index("is_empty")
 
@@ -158,11 +165,16 @@ def fit_pairs(good: np.ndarray, bad: np.ndarray, *, pairs: int = PAIRS, seed: in
     return ranker
 
 
+def agreed_labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """(i, y): ids whose labels agree."""
+    return (labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("i"))
+            .agg(F.min(label_col).alias("y"), F.max(label_col).alias("z")).where("y = z").select("i", "y"))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str,
                   per_class: int = PER_CLASS) -> tuple[np.ndarray, np.ndarray]:
     """Feature rows of a bounded sample of each label."""
-    agreed = (labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("i"))
-              .agg(F.min(label_col).alias("y"), F.max(label_col).alias("z")).where("y = z").select("i", "y"))
+    agreed = agreed_labels(labels, id_col, label_col)
     ids = first_rows(docs.select(F.col(id_col).alias("i")).distinct().join(agreed, "i"), "y", [F.xxhash64("i"), "i"], per_class)
     rows = (docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
             .join(F.broadcast(ids), "i")  # at most 2 * per_class ids
@@ -171,8 +183,177 @@ def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col:
     return pick[0], pick[1]
 
 
+def feature_table(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """(y, half, x): features of every labelled id, written; of rows that repeat an id one is kept."""
+    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).join(agreed_labels(labels, id_col, label_col), "i")
+    once = rows.select("i", "y", feature_column(F.col("t")).alias("x")).groupBy("i", "y").agg(F.max("x").alias("x"))
+    return materialize(once.select(F.col("y").cast("int").alias("y"), F.pmod(F.xxhash64("i"), F.lit(2)).cast("int").alias("half"), "x"), "quality-features")
+
+
+def matrices(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(labels, halves, features) of some rows at once."""
+    for at in range(0, part.num_rows, 2048):
+        some = part.slice(at, 2048)
+        x = np.frombuffer(b"".join(some.column("x").to_pylist()), dtype=np.float32).reshape(-1, WIDTH)
+        yield some.column("y").to_numpy(), some.column("half").to_numpy(), x
+
+
+def learned_by(fit: int, halves: np.ndarray) -> np.ndarray:
+    """Rows that a fit learns from: all for the first, those of its half for the others."""
+    return np.ones(len(halves), dtype=bool) if fit == 0 else halves == fit - 1
+
+
+def add_up(rows: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    """Sums over all tasks of the named arrays that ``task`` makes of its rows; at most PARTS tasks hand any over."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = task(batches)
+        yield pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array([v.astype(float).tobytes() for v in found.values()], pa.binary())], names=["name", "sums"])
+
+    def merged(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(v, dtype=float) for v in group["sums"].to_pylist())
+        return pa.table({"name": pa.array([key[0].as_py()]), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    parts = rows.coalesce(PARTS).mapInArrow(run, "name string, sums binary")
+    return {r.name: np.frombuffer(r.sums, dtype=float) for r in parts.groupBy("name").applyInArrow(merged, "name string, sums binary").collect()}
+
+
+def moments(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray]:
+    out = {f"n{y}{h}": np.zeros(1) for y in (0, 1) for h in (0, 1)} | {"sum": np.zeros(WIDTH), "square": np.zeros(WIDTH)}
+    for batch in batches:
+        for y, half, x in matrices(batch):
+            out["sum"] += x.sum(axis=0, dtype=float)
+            out["square"] += (x.astype(float) ** 2).sum(axis=0)
+            for a in (0, 1):
+                for h in (0, 1):
+                    out[f"n{a}{h}"] += ((y == a) & (half == h)).sum()
+    return out
+
+
+def cells_of(scores: np.ndarray) -> np.ndarray:
+    return np.clip(((scores + REACH) * (CELLS / (2 * REACH))).astype(int), 0, CELLS - 1)
+
+
+def pulls(scores: np.ndarray, counts: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(mean chance that the other label's rows stand above, its slope) at each score; both are smooth, so read off a fine grid."""
+    grid = np.linspace(scores.min(), scores.max(), 2048) if len(scores) > 2048 else scores
+    held = counts > 0
+    p = logistic(places[held][None, :] - grid[:, None])
+    share = counts[held] / max(1.0, counts.sum())
+    chance, slope = p @ share, (p * (1 - p)) @ share
+    return (chance, slope) if grid is scores else (np.interp(scores, grid, chance), np.interp(scores, grid, slope))
+
+
+def newton_steps(rows: DataFrame, ranker: Ranker, start: np.ndarray, fits: list[int], sizes: dict[tuple[int, int], float]) -> np.ndarray:
+    """(FITS x features) weights at the optimum of the penalised mean loss over all pairs, all fits side by side.
+
+    ``sizes`` counts the rows of (fit, label).
+    """
+    ridge = np.where(np.arange(WIDTH) < len(FEATURES), RIDGE, HASHED_RIDGE)
+    weights, moving = start.copy(), list(fits)
+    upper = np.triu_indices(WIDTH)
+
+    def scaled(x: np.ndarray) -> np.ndarray:
+        return np.clip((x - ranker.mean) / ranker.scale, -8, 8)
+
+    for _ in range(STEPS):
+        now, w = list(moving), weights.copy()
+
+        def ends(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray]:
+            """Counts and sums of scores in cells."""
+            out = {f"{kind}{f}{y}": np.zeros(CELLS) for f in now for y in (0, 1) for kind in ("count", "sum")}
+            for batch in batches:
+                for y, half, x in matrices(batch):
+                    scores = scaled(x) @ w.T
+                    for f in now:
+                        for a in (0, 1):
+                            own = scores[(y == a) & learned_by(f, half), f]
+                            cell = cells_of(own)
+                            out[f"count{f}{a}"] += np.bincount(cell, minlength=CELLS)
+                            out[f"sum{f}{a}"] += np.bincount(cell, weights=own, minlength=CELLS)
+            return out
+
+        spread = add_up(rows, ends)
+        places = {(f, y): spread[f"sum{f}{y}"] / np.maximum(1.0, spread[f"count{f}{y}"]) for f in now for y in (0, 1)}
+        counts = {(f, y): spread[f"count{f}{y}"] for f in now for y in (0, 1)}
+        # coarse cells of equal shares of all scores, for the part of the Hessian that crosses the labels
+        edges = {}
+        for f in now:
+            both = np.cumsum(counts[f, 0] / sizes[f, 0] + counts[f, 1] / sizes[f, 1])
+            edges[f] = np.minimum((both / both[-1] * COARSE).astype(int), COARSE - 1)
+
+        def slopes(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray]:
+            out = {f"g{f}": np.zeros(WIDTH) for f in now} | {f"h{f}": np.zeros((WIDTH, WIDTH)) for f in now}
+            out |= {f"x{f}{y}": np.zeros((COARSE, WIDTH)) for f in now for y in (0, 1)}
+            for batch in batches:
+                for y, half, x in matrices(batch):
+                    z = scaled(x)
+                    for f in now:
+                        for a in (0, 1):
+                            own = z[(y == a) & learned_by(f, half)]
+                            if not len(own):
+                                continue
+                            scores = own @ w[f]
+                            if a:  # a good row is pulled up by the bad rows that stand above it
+                                chance, slope = pulls(scores, counts[f, 0], places[f, 0])
+                            else:
+                                chance, slope = pulls(-scores, counts[f, 1], -places[f, 1])
+                            out[f"g{f}"] += (chance @ own) * (-1 if a else 1) / sizes[f, a]
+                            out[f"h{f}"] += (own * (slope / sizes[f, a])[:, None]).T @ own
+                            at = edges[f][cells_of(scores)]
+                            np.add.at(out[f"x{f}{a}"], at, own / sizes[f, a])
+            return {k: v[upper] if k[0] == "h" else v.ravel() for k, v in out.items()}
+
+        sums = add_up(rows, slopes)
+        for f in now:
+            own = np.zeros((WIDTH, WIDTH))
+            own[upper] = sums[f"h{f}"]
+            own = own + np.triu(own, 1).T
+            middle = {y: np.bincount(edges[f], weights=counts[f, y] * places[f, y], minlength=COARSE)
+                      / np.maximum(1.0, np.bincount(edges[f], weights=counts[f, y], minlength=COARSE)) for y in (0, 1)}
+            p = logistic(middle[0][None, :] - middle[1][:, None])
+            good, bad = (sums[f"x{f}{y}"].reshape(COARSE, WIDTH) for y in (1, 0))
+            cross = good.T @ (p * (1 - p)) @ bad
+            hessian = own - cross - cross.T + np.diag(ridge)
+            move = np.linalg.solve(hessian, ridge * w[f] + sums[f"g{f}"])
+            weights[f] -= move * min(1.0, 2.0 / max(1e-12, float(np.abs(move).max())))
+            if np.abs(move).max() < STILL:
+                moving.remove(f)
+        if not moving:
+            break
+    return weights
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Ranker:
-    return fit_pairs(*training_rows(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col))
+    """The ranker of all pairs of all labelled rows, and its cut."""
+    names = {"id_col": id_col, "text_col": text_col, "label_col": label_col}
+    rows = feature_table(docs, labels, **names)
+    found = add_up(rows, moments)
+    n = {(y, h): float(found[f"n{y}{h}"][0]) for y in (0, 1) for h in (0, 1)} if found else {}
+    sizes = {(0, y): n[y, 0] + n[y, 1] for y in (0, 1)} if n else {}
+    if not n or not sizes[0, 0] or not sizes[0, 1]:
+        return fit_pairs(np.empty((0, WIDTH)), np.empty((0, WIDTH)))
+    sizes |= {(1 + h, y): n[y, h] for h in (0, 1) for y in (0, 1)}
+    total = sizes[0, 0] + sizes[0, 1]
+    mean = found["sum"] / total
+    ranker = Ranker(mean, np.sqrt(np.maximum(0.0, found["square"] / total - mean ** 2)) + 1e-2, np.zeros(WIDTH), 0.0)
+    fits = [f for f in range(FITS) if sizes[f, 0] and sizes[f, 1]]
+    weights = newton_steps(rows, ranker, np.zeros((FITS, WIDTH)), fits, sizes)
+    ranker.weights = weights[0]
+    judges = [weights[2 - h] if 2 - h in fits else weights[0] for h in (0, 1)]  # each half by the fit on the other one
+
+    def held_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for y, half, x in matrices(batch):
+                z = np.clip((x - ranker.mean) / ranker.scale, -8, 8)
+                yield pa.RecordBatch.from_arrays([pa.array(y.astype(str)), pa.array(np.where(half == 0, z @ judges[0], z @ judges[1]))], names=["key", "value"])
+
+    scores = materialize(rows.mapInArrow(held_out, "key string, value double"), "held-out-scores")
+    wanted = {"1": LOW_QUANTILE * (sizes[0, 1] - 1), "0": HIGH_QUANTILE * (sizes[0, 0] - 1)}
+    at = values_at(scores, {y: (int(np.floor(p)), int(np.ceil(p))) for y, p in wanted.items()})
+    low, high = (at[y, int(np.floor(p))] + (p - np.floor(p)) * (at[y, int(np.ceil(p))] - at[y, int(np.floor(p))]) for y, p in wanted.items())
+    ranker.cut = float((low + high) / 2 if high < low else low)
+    return ranker
 
 
 def score_column(text: Column, ranker: Ranker) -> Column:
