@@ -389,6 +389,17 @@ def test_quality_is_learned_from_all_pairs_of_all_rows(spark):
     assert np.abs(slope).max() < 1e-4 and np.abs(ranker.weights).max() > 0.1
 
 
+def test_quality_cut_is_not_moved_by_empty_texts(spark):
+    """Texts without words get 0 whatever the cut; labelled good in one half only, they must not let junk pass."""
+    halves = {r.id: r.h for r in spark.range(400).select("id", F.pmod(F.xxhash64("id"), F.lit(2)).alias("h")).collect()}
+    rows = [(k, f"plain words number {k} in a calm line of text", 1) for k in range(0, 200, 2)] + [(k, f"###$$$ {k} !!! *** %%%", 0) for k in range(1, 200, 2)]
+    rows += [(k, "", 1) for k in range(200, 400) if halves[k] == 1][:8]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    ranker = quality.fit(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int"))
+    scores = ranker.score(described([r[1] for r in rows]))
+    assert all((s >= 0.5) == (y == 1 and text != "") for s, (_, text, y) in zip(scores, rows))
+
+
 def test_quality_pairs_and_odd_rows(spark):
     good = described([f"plain words number {k} in a calm line of text" for k in range(30)])
     bad = described([f"###$$$ {k} !!! *** %%%" for k in range(30)])

@@ -343,15 +343,20 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     judges = [weights[2 - h] if 2 - h in fits else weights[0] for h in (0, 1)]  # each half by the fit on the other one
 
     def held_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Scores of texts with words; the others get score 0, whatever the cut."""
         for batch in batches:
             for y, half, x in matrices(batch):
+                told = x[:, EMPTY] == 0
                 z = np.clip((x - ranker.mean) / ranker.scale, -8, 8)
-                yield pa.RecordBatch.from_arrays([pa.array(y.astype(str)), pa.array(np.where(half == 0, z @ judges[0], z @ judges[1]))], names=["key", "value"])
+                yield pa.RecordBatch.from_arrays([pa.array(y[told].astype(str), pa.string()), pa.array(np.where(half == 0, z @ judges[0], z @ judges[1])[told])], names=["key", "value"])
 
     scores = materialize(rows.mapInArrow(held_out, "key string, value double"), "held-out-scores")
-    wanted = {"1": LOW_QUANTILE * (sizes[0, 1] - 1), "0": HIGH_QUANTILE * (sizes[0, 0] - 1)}
-    at = values_at(scores, {y: (int(np.floor(p)), int(np.ceil(p))) for y, p in wanted.items()})
-    low, high = (at[y, int(np.floor(p))] + (p - np.floor(p)) * (at[y, int(np.ceil(p))] - at[y, int(np.floor(p))]) for y, p in wanted.items())
+    counts = {r.key: r["count"] for r in scores.groupBy("key").count().collect()}
+    places = {y: share * (counts[y] - 1) for y, share in (("1", LOW_QUANTILE), ("0", HIGH_QUANTILE)) if y in counts}
+    at = values_at(scores, {y: (int(np.floor(p)), int(np.ceil(p))) for y, p in places.items()})
+    cuts = {y: at[y, int(np.floor(p))] + (p - np.floor(p)) * (at[y, int(np.ceil(p))] - at[y, int(np.floor(p))]) for y, p in places.items()}
+    low = cuts.get("1", cuts.get("0", 0.0))
+    high = cuts.get("0", low)
     ranker.cut = float((low + high) / 2 if high < low else low)
     return ranker
 
