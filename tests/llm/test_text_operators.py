@@ -389,6 +389,21 @@ def test_quality_is_learned_from_all_pairs_of_all_rows(spark):
     assert np.abs(slope).max() < 1e-4 and np.abs(ranker.weights).max() > 0.1
 
 
+def test_quality_steps_hand_over_less_than_their_rows(spark, monkeypatch):
+    """Few rows in many files: the matrices of a step come from one task, not from one a file."""
+    add_up, written, tasks = quality.add_up, quality.feature_table, []
+
+    def counted(rows, task, *parts):
+        tasks.append(add_up(rows, lambda batches: {"tasks": np.ones(1)}, *parts)["tasks"][0])
+        return add_up(rows, task, *parts)
+
+    monkeypatch.setattr(quality, "add_up", counted)
+    monkeypatch.setattr(quality, "feature_table", lambda *args, **names: written(*args, **names).repartition(40))
+    rows = [(k, f"calm rain {k}" if k % 2 else f"### !! {k}", k % 2) for k in range(60)]
+    quality.fit(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([r[::2] for r in rows], "doc_id long, quality int"))
+    assert tasks[0] == 40 and len(tasks) > 2 and set(tasks[1:]) == {1}
+
+
 def test_quality_cut_is_not_moved_by_empty_texts(spark):
     """Texts without words get 0 whatever the cut; labelled good in one half only, they must not let junk pass."""
     halves = {r.id: r.h for r in spark.range(400).select("id", F.pmod(F.xxhash64("id"), F.lit(2)).alias("h")).collect()}

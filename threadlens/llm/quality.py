@@ -42,7 +42,7 @@ SLICE = 1 << 18        # bytes of text described at once
 RIDGE, HASHED_RIDGE, STEPS = 1e-3, 1e-1, 60
 FITS, CELLS, COARSE, STILL = 3, 4096, 64, 1e-4  # all rows and each half of them; cells of scores, of sums; largest move that ends the steps
 REACH = 40.0           # scores beyond it count as that far: no chance of a pair changes there
-PARTS = 64             # tasks of a pass at most, each of which hands over one packed matrix a fit
+PARTS, PART_ROWS = 64, 4096  # tasks of a pass at most, each of which hands over one packed matrix a fit; rows that are worth one
 WIDTH = len(FEATURES) + 2 * BUCKETS
 EMPTY = FEATURES.index("is_empty")
 
@@ -203,8 +203,8 @@ def learned_by(fit: int, halves: np.ndarray) -> np.ndarray:
     return np.ones(len(halves), dtype=bool) if fit == 0 else halves == fit - 1
 
 
-def add_up(rows: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
-    """Sums over all tasks of the named arrays that ``task`` makes of its rows; at most PARTS tasks hand any over."""
+def add_up(rows: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], dict[str, np.ndarray]], parts: int = PARTS) -> dict[str, np.ndarray]:
+    """Sums over all tasks of the named arrays that ``task`` makes of its rows; at most ``parts`` tasks hand any over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = task(batches)
@@ -214,8 +214,8 @@ def add_up(rows: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], dict[str,
         total = sum(np.frombuffer(v, dtype=float) for v in group["sums"].to_pylist())
         return pa.table({"name": pa.array([key[0].as_py()]), "sums": pa.array([total.tobytes()], pa.binary())})
 
-    parts = rows.coalesce(PARTS).mapInArrow(run, "name string, sums binary")
-    return {r.name: np.frombuffer(r.sums, dtype=float) for r in parts.groupBy("name").applyInArrow(merged, "name string, sums binary").collect()}
+    sums = rows.coalesce(parts).mapInArrow(run, "name string, sums binary")
+    return {r.name: np.frombuffer(r.sums, dtype=float) for r in sums.groupBy("name").applyInArrow(merged, "name string, sums binary").collect()}
 
 
 def moments(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray]:
@@ -247,8 +247,10 @@ def pulls(scores: np.ndarray, counts: np.ndarray, places: np.ndarray) -> tuple[n
 def newton_steps(rows: DataFrame, ranker: Ranker, start: np.ndarray, fits: list[int], sizes: dict[tuple[int, int], float]) -> np.ndarray:
     """(FITS x features) weights at the optimum of the penalised mean loss over all pairs, all fits side by side.
 
-    ``sizes`` counts the rows of (fit, label).
+    ``sizes`` counts the rows of (fit, label).  A task gets PART_ROWS rows at least, so that its matrices are smaller than its rows,
+    however many files these lie in.
     """
+    parts = max(1, min(PARTS, int(sizes[0, 0] + sizes[0, 1]) // PART_ROWS))
     ridge = np.where(np.arange(WIDTH) < len(FEATURES), RIDGE, HASHED_RIDGE)
     weights, moving = start.copy(), list(fits)
     upper = np.triu_indices(WIDTH)
@@ -273,7 +275,7 @@ def newton_steps(rows: DataFrame, ranker: Ranker, start: np.ndarray, fits: list[
                             out[f"sum{f}{a}"] += np.bincount(cell, weights=own, minlength=CELLS)
             return out
 
-        spread = add_up(rows, ends)
+        spread = add_up(rows, ends, parts)
         places = {(f, y): spread[f"sum{f}{y}"] / np.maximum(1.0, spread[f"count{f}{y}"]) for f in now for y in (0, 1)}
         counts = {(f, y): spread[f"count{f}{y}"] for f in now for y in (0, 1)}
         # coarse cells of equal shares of all scores, for the part of the Hessian that crosses the labels
@@ -304,7 +306,7 @@ def newton_steps(rows: DataFrame, ranker: Ranker, start: np.ndarray, fits: list[
                             np.add.at(out[f"x{f}{a}"], at, own / sizes[f, a])
             return {k: v[upper] if k[0] == "h" else v.ravel() for k, v in out.items()}
 
-        sums = add_up(rows, slopes)
+        sums = add_up(rows, slopes, parts)
         for f in now:
             own = np.zeros((WIDTH, WIDTH))
             own[upper] = sums[f"h{f}"]
