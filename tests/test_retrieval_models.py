@@ -288,6 +288,27 @@ def test_fit_stands_at_its_optimum(spark, train):
         assert max(r.largest for r in models.gradient(models.IntentModel("tfidf_lr", off, labels, vocab), vectors, "intent", c).collect()) > 1e-3
 
 
+def test_training_rows_are_computed_once_and_two_classes_share_a_vector(spark, train):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(text):
+        seen.add(1)
+        return text
+
+    two = train.where("intent <> 'network'")
+    model = models.fit_tfidf_lr(two.withColumn("clean_text", told("clean_text")))
+    assert seen.value == two.count()
+    weights = {(r.label, r.idx): r.weight for r in model.weights.collect()}
+    assert all(weights["billing", k] == -x for (label, k), x in weights.items() if label == "hardware") and max(weights.values()) > 0.1
+    vocab, size = models.frozen_vocabulary(two, features.CLASSIFIER, key="tweet_id", text="clean_text")
+    for c in (0.1, 10.0):
+        vectors = features.vector_table(two, vocab, size, key="tweet_id", text="clean_text", keep=["intent"])
+        weights, labels = models.fit_logistic(vectors, "intent", c)
+        flat = models.gradient(models.IntentModel("tfidf_lr", weights, labels, vocab), vectors, "intent", c).collect()
+        assert len(flat) == 2 and all(r.largest < 1e-5 for r in flat)
+
+
 def test_embedding_model_as_a_table(spark):
     m = np.concatenate([np.random.default_rng(k).normal(loc=3 * k, scale=0.3, size=(30, 3)) for k in range(3)])
     rows = spark.createDataFrame([(k, v.tolist(), f"c{k // 30}") for k, v in enumerate(m)], "vec_id int, embedding array<double>, intent string")

@@ -124,7 +124,8 @@ def _frequent_phrases(docs: DataFrame, spec: TfidfSpec, text: str, words: DataFr
         some = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("cf")).where(F.col("cf") >= floor).select(F.concat_ws(" ", *names).alias("term"), "cf")
         found = some if found is None else found.unionByName(some)
     found = materialize(found, "frequent-phrases")
-    held = gram_lists(docs, spec, text).select(F.explode(F.array_distinct("g")).alias("term")).join(found.select("term"), "term", "left_semi")
+    phrases = lists.select(F.slice(ngrams(F.col("t"), spec.max_n), F.size("t") + 1, F.size("t") * spec.max_n + 1).alias("g"))  # n-grams start with the words
+    held = phrases.select(F.explode(F.array_distinct("g")).alias("term")).join(found.select("term"), "term", "left_semi")
     return held.groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(found, "term").select("term", "df", "cf")
 
 

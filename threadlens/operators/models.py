@@ -64,9 +64,13 @@ def fit_logistic(vectors: DataFrame, label: str, c: float = 1.0, max_iter: int =
     """
     labels, n, classes = _class_table(vectors, label)
     data = vectors.join(F.broadcast(classes), label).select(features, "__y", "__w")
-    lr = LogisticRegression(featuresCol=features, labelCol="__y", weightCol="__w", family="multinomial",
-                            regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tol).fit(data)
-    rows = [(name, [float(b), *map(float, row)]) for name, b, row in zip(labels, lr.interceptVector, lr.coefficientMatrix.toArray())]
+    two = len(labels) == 2  # their weights are opposite at the optimum: v/2 and -v/2 of one vector of log-odds v, whose penalty is half as strong
+    lr = LogisticRegression(featuresCol=features, labelCol="__y", weightCol="__w", family="binomial" if two else "multinomial",
+                            regParam=(0.5 if two else 1.0) / (c * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tol).fit(data)
+    odds, bias = lr.coefficientMatrix.toArray(), lr.interceptVector.toArray()
+    if two:
+        odds, bias = np.concatenate([-odds, odds]) / 2, np.concatenate([-bias, bias]) / 2
+    rows = [(name, [float(b), *map(float, row)]) for name, b, row in zip(labels, bias, odds)]
     table = vectors.sparkSession.createDataFrame(rows, "label string, w array<double>") \
         .select("label", F.posexplode("w").alias("p", "weight")).select("label", (F.col("p") - 1).alias("idx"), "weight")
     return materialize(table, "coefficients"), labels
@@ -186,8 +190,9 @@ def gradient(model: IntentModel, vectors: DataFrame, label: str, c: float, featu
 def fit_tfidf_lr(train: DataFrame, *, label: str = "intent", key: str = "tweet_id", text: str = "clean_text",
                  c: float = 1.0, spec: TfidfSpec = CLASSIFIER, max_iter: int = 1000, tol: float = TOL) -> IntentModel:
     """Vocabulary and logistic regression on ``train``."""
+    train = materialize(train.select(*dict.fromkeys([key, text, label])), "train")  # read by every pass over the texts
     vocab, size = frozen_vocabulary(train, spec, key=key, text=text)
-    vectors = vector_table(train.select(key, text, label), vocab, size, spec, key=key, text=text, keep=[label])
+    vectors = vector_table(train, vocab, size, spec, key=key, text=text, keep=[label])
     weights, labels = fit_logistic(vectors, label, c, max_iter, tol=tol)
     return IntentModel("tfidf_lr", weights, labels, vocab, spec, key, text)
 
@@ -233,8 +238,9 @@ def tune_regularization(train: DataFrame, val: DataFrame, grid: Sequence[float]
     Only the chosen model sees ``test``; its row carries what it scores there, the others null.  Training features
     are built once for all fits; the driver sees one number per C.
     """
+    train = materialize(train.select(*dict.fromkeys([key, text, label])), "train")  # read by every pass over the texts
     vocab, size = frozen_vocabulary(train, spec, key=key, text=text)
-    vectors = vector_table(train.select(key, text, label), vocab, size, spec, key=key, text=text, keep=[label])
+    vectors = vector_table(train, vocab, size, spec, key=key, text=text, keep=[label])
     evaluator, fits = CellEvaluator(label), []
     for c in grid:
         weights, labels = fit_logistic(vectors, label, c, max_iter)
