@@ -352,6 +352,20 @@ def test_kmeans_restarts_side_by_side(spark):
         assert np.allclose(alone, together[4 * r:4 * r + 4]) and np.allclose(own, cost[r])
 
 
+def test_discovery_runs_all_restarts_until_their_centres_stand_still(spark, monkeypatch, tmp_path):
+    """Texts along a chain, over which centres creep for many rounds."""
+    from workload import queries
+    texts = [" ".join(f"w{j}" for j in range(k, k + 12)) for k in range(240)]
+    spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen, lloyd = [], models.lloyd_round
+    monkeypatch.setattr(models, "lloyd_round", lambda v, c, k: (seen.append((c.copy(), lloyd(v, c, k))), seen[-1][1])[1])
+    assert sum(r.size for r in queries.Q["discover_intents"](spark, str(tmp_path)).collect()) == len(texts)
+    rounds, (end, (further, cost)) = seen[:-1], seen[-1]
+    assert len(rounds) > 15 and len(rounds[0][0]) == len(end) == 10 * 8 and len(cost) == 10
+    assert np.abs(further - end).max() <= models.STILL
+    assert len(rounds[-1][0]) < len(rounds[0][0])  # a restart that stands still sits out
+
+
 def test_tfidf_shuffles_no_text(spark):
     docs = materialize(spark.createDataFrame([(1, "aa bb aa"), (2, "aa cc"), (3, ""), (4, None)], "doc_id int, text string"), "docs")
     vocab = features.tfidf_vocabulary(docs, features.TfidfSpec(min_df=1, max_df=1.0))

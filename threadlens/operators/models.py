@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import Evaluator
@@ -23,6 +24,7 @@ from threadlens.sources.scratch import materialize
 
 C_GRID = (0.1, 1.0, 10.0)
 MAX_CLASSES = 1_000
+RESTARTS, ROUNDS = 10, 300  # of k-means: starts, and rounds of one that never stands still
 TOL = 1e-8                # relative improvement of the loss that ends a fit
 DIGITS, STILL = 9, 1e-10  # of squared distances; movement of a centre that counts as none
 
@@ -267,8 +269,8 @@ def nearest_centres(indices: pa.Array, values: pa.Array, centres: np.ndarray, k:
     rows, features, x = sparse_rows(indices, values)
     dots = np.zeros((len(indices), len(centres)))
     turned = np.ascontiguousarray(centres.T)
-    for at in range(0, len(rows), 1 << 15):
-        part = slice(at, at + (1 << 15))
+    for at in range(0, len(rows), 1 << 12):  # what is gathered at once stays in the processor's cache
+        part = slice(at, at + (1 << 12))
         first = np.flatnonzero(np.diff(rows[part], prepend=-1))
         dots[rows[part][first]] += np.add.reduceat(turned[features[part]] * x[part, None], first, axis=0)
     own = np.bincount(rows, weights=x * x, minlength=len(indices))
@@ -279,32 +281,42 @@ def nearest_centres(indices: pa.Array, values: pa.Array, centres: np.ndarray, k:
 def lloyd_round(vectors: DataFrame, centres: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(new centres, cost per restart): one pass over the data for all restarts together.
 
-    Tasks add up what falls to each centre; at most (restarts * k) x (features + 2) sums reach the driver.
+    A task adds up what falls to each centre and gives one row a centre; those are added up per centre, in the order of
+    tasks, so (restarts * k) x (features + 2) sums reach the driver.
     """
     n, size = centres.shape
+    shipped = vectors.sparkSession.sparkContext.broadcast(centres)  # dropped after the round, there may be hundreds
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, counts, cost = np.zeros((n, size)), np.zeros(n), np.zeros(n // k)
+        held = shipped.value
+        sums, counts, cost = np.zeros((n, size)), np.zeros(n), np.zeros(n)  # a restart's cost stands beside its first centre
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                cluster, distance = nearest_centres(part.column("indices"), part.column("values"), centres, k)
-                cost += distance.sum(axis=0)
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                cluster, distance = nearest_centres(part.column("indices"), part.column("values"), held, k)
+                cost[::k] += distance.sum(axis=0)
                 rows, features, x = sparse_rows(part.column("indices"), part.column("values"))
                 for r in range(n // k):
-                    owner = r * k + cluster[:, r]
-                    counts += np.bincount(owner, minlength=n)
-                    sums += np.bincount(owner[rows] * size + features, weights=x, minlength=n * size).reshape(n, size)
-        c, f = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate([c, np.arange(n), np.arange(n // k)]), pa.int32()), pa.array(np.concatenate([f, np.full(n, -1), np.full(n // k, -2)]), pa.int32()),
-            pa.array(np.concatenate([sums[c, f], counts, cost]))], names=["c", "f", "s"])
-
-    total = vectors.select("indices", "values").mapInArrow(run, "c int, f int, s double").groupBy("c", "f").agg(F.sum("s").alias("s")).toArrow()
-    c, f, s = (total[x].to_numpy() for x in ("c", "f", "s"))
-    counts, cost, new = np.zeros(n), np.zeros(n // k), np.zeros((n, size))
-    counts[c[f == -1]], cost[c[f == -2]] = s[f == -1], s[f == -2]
-    new[c[f >= 0], f[f >= 0]] = s[f >= 0]
+                    mine = slice(r * k, r * k + k)
+                    counts[mine] += np.bincount(cluster[:, r], minlength=k)
+                    sums[mine] += np.bincount(cluster[rows, r] * size + features, weights=x, minlength=k * size).reshape(k, size)
+        packed = np.column_stack([counts, cost, sums])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n), pa.int32()), pa.array(np.full(n, TaskContext.get().partitionId()), pa.int32()),
+                                          pa.array([row.tobytes() for row in packed], pa.binary())], names=["c", "task", "s"])
+
+    def added(table: pa.Table) -> pa.Table:
+        parts = sorted(zip(table["task"].to_pylist(), table["s"].to_pylist()))
+        total = np.zeros(size + 2)
+        for _, row in parts:
+            total += np.frombuffer(row)
+        return pa.table({"c": table["c"].slice(0, 1), "s": pa.array([total.tobytes()], pa.binary())})
+
+    total = vectors.select("indices", "values").mapInArrow(run, "c int, task int, s binary").groupBy("c").applyInArrow(added, "c int, s binary").toArrow()
+    shipped.destroy()
+    sums = np.zeros((n, size + 2))
+    for c, row in zip(total["c"].to_pylist(), total["s"].to_pylist()):  # one row a centre
+        sums[c] = np.frombuffer(row)
+    counts, cost, new = sums[:, 0], sums[::k, 1], sums[:, 2:]
     held = counts > 0
     return np.where(held[:, None], new / np.where(held, counts, 1.0)[:, None], centres), cost
 
@@ -319,23 +331,27 @@ def first_centres(vectors: DataFrame, key: str, k: int, size: int, restarts: int
     return centres
 
 
-def discover_intents(docs: DataFrame, *, n_clusters: int = 8, top: int = 15, restarts: int = 10, seed: int = SEED,
+def discover_intents(docs: DataFrame, *, n_clusters: int = 8, top: int = 15, restarts: int = RESTARTS, seed: int = SEED,
                      key: str = "doc_id", text: str = "text", spec: TfidfSpec | None = None,
-                     max_iter: int = 300) -> tuple[DataFrame, DataFrame]:
+                     max_iter: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """K-means over TF-IDF vectors; the restart of lowest cost wins (the first of equals).
 
-    All restarts run side by side, each round being one pass over the written vectors.  Returns
-    (cluster table, assignments key -> cluster_id).  Clusters that end empty do not appear.
+    All restarts run side by side, each round being one pass over the written vectors; a restart whose centres stand
+    still sits out the rounds that others need.  Returns (cluster table, assignments key -> cluster_id).  Clusters that
+    end empty do not appear.
     """
     spec = spec or discovery_spec()
     vocab, size = frozen_vocabulary(docs, spec, key=key, text=text)
     packed = vector_table(docs.select(key, text), vocab, size, spec, key=key, text=text, keep=[key], packed=True)
     centres = first_centres(packed, key, n_clusters, size, restarts, seed)
+    moving = np.arange(restarts)
     for _ in range(max_iter):
-        moved, _ = lloyd_round(packed, centres, n_clusters)
-        still = np.abs(moved - centres).max() <= STILL
-        centres = moved
-        if still:
+        at = (moving[:, None] * n_clusters + np.arange(n_clusters)).ravel()
+        moved, _ = lloyd_round(packed, centres[at], n_clusters)
+        step = np.abs(moved - centres[at]).reshape(len(moving), -1).max(axis=1)
+        centres[at] = moved
+        moving = moving[step > STILL]
+        if not len(moving):
             break
     _, cost = lloyd_round(packed, centres, n_clusters)
     best = int(np.round(cost, DIGITS).argmin())

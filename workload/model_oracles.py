@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 
 from threadlens.functions.prompts import GENERIC_REPLY, REPLY_TEMPLATES
-from workload import queries as registered
+from threadlens.operators import models
 from workload.oracles import CLASSIFIER, CTE, DISCOVERY, W, clean, f2, lit, re_, scores, tfidf, with_, with_tfidf
 
 STEEPEST = 0.75   # above half the largest eigenvalue of the mean outer product of unit vectors with an intercept
@@ -107,22 +107,25 @@ TUNED["picked"] = ("select *, row_number() over (order by val_macro_f1 desc, c)=
     f"{report(f'q{k}', 'test')} as tf from (select 1)" for k, c in enumerate((0.1, 1.0, 10.0))) + ")", ["q0", "q1", "q2"])
 TUNE = f"select c, val_macro_f1, best, case when best then {re_('ta', 4)} end as test_accuracy, case when best then {re_('tf', 4)} end as test_macro_f1 from picked"
 
-ROUNDS, RESTARTS, K = registered.DISCOVERY_ROUNDS, 5, 8
+ROUNDS, RESTARTS, K = models.ROUNDS, models.RESTARTS, 8
 CLUSTERS = {
     "kx": ("select doc_id as i, term as p, weight as v from weights", ["weights"]),
     "kd": ("select doc_id as i, coalesce(own, 0e0) as own from documents left join (select i, sum(v*v) as own from kx group by i) on i=doc_id", ["kx"]),
     "k0": (f"select r, rn-1 as c, i from (select r, doc_id as i, row_number() over (partition by r order by md5('42:'||r||':'||doc_id), doc_id) as rn "
            f"from documents, (select unnest(range({RESTARTS})) as r)) where rn<={K}", []),
-    "kt(it, r, c, p, v)": (
-        "select 0, r, c, '', 0e0 from k0 union all select 0, r, c, p, v from k0 join kx using (i) union all select * from ("
-        "with cur as (select * from kt where it<" + str(ROUNDS) + "), norm as (select any_value(it) as it, r, c, sum(v*v) as n2 from cur group by r, c), "
+    # a restart ends with the round that moves no weight of its centres by more than STILL
+    "kt(it, r, c, p, v, still)": (
+        "select 0, r, c, '', 0e0, false from k0 union all select 0, r, c, p, v, false from k0 join kx using (i) union all select * from ("
+        f"with cur as (select * from kt where it<{ROUNDS} and not still), norm as (select any_value(it) as it, r, c, sum(v*v) as n2 from cur group by r, c), "
         "dots as (select kx.i, cur.r, cur.c, sum(kx.v*cur.v) as d from kx join cur using (p) group by kx.i, cur.r, cur.c), "
         "near as (select i, r, arg_min(c, (round(own-2e0*coalesce(d, 0e0)+n2, 9), c)) as c from (select kd.i, kd.own, norm.r, norm.c, norm.n2 from kd, norm) b left join dots using (i, r, c) group by i, r), "
-        "sizes as (select r, c, count(*) as n from near group by r, c) "
-        "select it+1, r, c, '', 0e0 from norm union all "
+        "sizes as (select r, c, count(*) as n from near group by r, c), "
+        "moved as (select it+1 as it, r, c, '' as p, 0e0 as v from norm union all "
         "select any_value(norm.it)+1, near.r, near.c, kx.p, sum(kx.v)/any_value(sizes.n) from near join kx using (i) join sizes using (r, c) join norm using (r, c) group by near.r, near.c, kx.p union all "
-        "select cur.it+1, cur.r, cur.c, cur.p, cur.v from cur anti join sizes using (r, c) where cur.p<>'')", ["kx", "kd", "k0"]),
-    "kend": (f"select * from kt where it={ROUNDS}", ["kt(it, r, c, p, v)"]),
+        "select cur.it+1, cur.r, cur.c, cur.p, cur.v from cur anti join sizes using (r, c) where cur.p<>''), "
+        f"steps as (select r, max(abs(coalesce(moved.v, 0e0)-coalesce(cur.v, 0e0)))<={models.STILL} as still from moved full join cur using (r, c, p) group by r) "
+        "select it, r, c, p, v, still from moved join steps using (r))", ["kx", "kd", "k0"]),
+    "kend": ("select it, r, c, p, v from kt semi join (select r, max(it) as it from kt group by r) using (r, it)", ["kt(it, r, c, p, v, still)"]),
     "knear": ("select i, r, arg_min(c, (d, c)) as c, greatest(0e0, min(d)) as d from (select b.i, b.r, b.c, round(own-2e0*coalesce(d, 0e0)+n2, 9) as d from (select kd.i, own, r, c, n2 from kd, "
               "(select r, c, sum(v*v) as n2 from kend group by r, c)) b left join (select kx.i, kend.r, kend.c, sum(kx.v*kend.v) as d from kx join kend using (p) group by kx.i, kend.r, kend.c) using (i, r, c)) group by i, r", ["kend"]),
     "kbest": ("select i as doc_id, c as cluster_id from knear where r=(select r from knear group by r order by round(sum(d), 9), r limit 1)", ["knear"]),
