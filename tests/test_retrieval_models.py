@@ -277,6 +277,36 @@ def test_stream_batches_replay_and_tiles(spark, train, monkeypatch):
     assert streaming.read_scored(spark, out).count() == 18
 
 
+def test_texts_of_examples_stay_out_of_the_search(spark, train, monkeypatch):
+    """Cells and candidates hold one id a vector and no text; examples are put together once a distinct vector."""
+    m = spread(240)
+    m[100:140] = m[0]  # copies, of which an index keeps five
+    model = models.fit_tfidf_lr(train)
+    store = frame(spark, m).select(F.col("id").alias("store_id"), "embedding", F.concat(F.lit("case "), "id").alias("customer_text"), F.concat(F.lit("reply "), "id").alias("brand_text"))
+    index = retrieval.build_evidence_index(store, tile_rows=20)
+    assert {f.name for f in index.rows.schema["ids"].dataType.elementType} == {"id", "place"} and index.rows.schema["v"].dataType.simpleString() == "array<float>"
+    assert index.examples.count() == 240 - 36 and {"customer_text", "brand_text"} <= set(index.examples.columns)
+    seen, cells = [], vector_index.cell_candidates
+
+    def watched(visits, rows, *rest):
+        found = cells(visits, rows, *rest)
+        seen.append((rows.select(F.max(F.size("ids"))).first()[0], visits.schema["q"].dataType.simpleString(), [r.score for r in found.collect()]))
+        return found
+
+    packed, pack = [], retrieval.pack_evidence
+    monkeypatch.setattr(vector_index, "SCAN_BYTES", 1)
+    monkeypatch.setattr(vector_index, "cell_candidates", watched)
+    monkeypatch.setattr(retrieval, "pack_evidence", lambda found: (packed.append(pack(found).count()), pack(found))[1])
+    vectors = np.concatenate([m[:12], m[:12]])
+    msgs = frame(spark, vectors, "m").select(F.col("id").alias("tweet_id"), F.lit("my phone is broken").alias("text"), "embedding")
+    got = {r.tweet_id: r for r in score_messages(msgs, model, index).collect()}
+    assert packed == [12] and [s[:2] for s in seen] == [(1, "array<float>")] * 2
+    answers = exact(m, vectors, 5)
+    want = {f"m{k:03d}": [j for _, j in sorted((r, j) for q, r, j in answers if q == f"q{k:03d}")] for k in range(24)}
+    assert {k: [e.customer_text.removeprefix("case ") for e in r.evidence] for k, r in got.items()} == want
+    assert all(r.reply == f"reply {want[k][0]}" for k, r in got.items())
+
+
 def test_fit_stands_at_its_optimum(spark, train):
     vocab, size = models.frozen_vocabulary(train, features.CLASSIFIER, key="tweet_id", text="clean_text")
     vectors = features.vector_table(train, vocab, size, key="tweet_id", text="clean_text", keep=["intent"])

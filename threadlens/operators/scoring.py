@@ -9,8 +9,8 @@ from threadlens.functions.prompts import template_reply
 from threadlens.functions.text import clean_text
 from threadlens.operators.decision import escalation_gates
 from threadlens.operators.models import IntentModel
-from threadlens.operators.retrieval import find_evidence
-from threadlens.operators.vector_index import TileIndex
+from threadlens.operators.retrieval import add_evidence
+from threadlens.operators.vector_index import TileIndex, vector_key
 from threadlens.schema import DEFAULT_BRAND, ESCALATE, EVIDENCE_TYPE, TOP_K
 
 OUTPUT = ["brand", "customer_message", "clean_message", "intent", "confidence", "intent_proba", "evidence",
@@ -29,9 +29,9 @@ def score_messages(messages: DataFrame, model: IntentModel, store: DataFrame | T
     """
     cleaned = messages.withColumn("clean_text", clean_text(F.col("text")))
     usable = cleaned.where(F.col("clean_text") != "")
-    predicted = model.predict(usable)
-    evidence = find_evidence(usable, store, k, query_id=key, store_id=store_id, vector=vector).withColumnRenamed("query_id", key)
-    joined = predicted.join(evidence, key, "left") \
+    keyed = usable.withColumn("__vk", vector_key(F.col(vector)))
+    predicted = model.predict(keyed if model.source == vector else keyed.drop(vector))  # vectors stay behind
+    joined = add_evidence(usable, store, k, key=key, store_id=store_id, vector=vector, texts_of=predicted) \
         .withColumn("evidence", F.coalesce("evidence", F.array().cast(EVIDENCE_TYPE))) \
         .withColumn("n_evidence", F.coalesce("n_evidence", F.lit(0))) \
         .withColumn("evidence_score", F.coalesce("evidence_score", F.lit(0.0)))

@@ -45,7 +45,7 @@ def score_batch(batch: DataFrame, batch_id: int, model: IntentModel, store: Data
     batch.persist()  # read by the classifier, the retrieval and the final join
     try:
         place = f"{out}/data/batch_id={batch_id}/attempt={attempt}"
-        score_messages(batch, model, store, **params).write.parquet(place)
+        score_messages(batch, model, store, **params).write.option("compression", "zstd").parquet(place)
         rows = spark.read.parquet(place).count()
     finally:
         batch.unpersist()
